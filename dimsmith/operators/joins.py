@@ -148,7 +148,7 @@ def join_sizes(left: DataFrame, right: DataFrame, on: Sequence[str], row_key: st
     """
     on = list(on)
     right_counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__right"))
-    left_counts = left.groupBy(*on, row_key).agg(F.count(F.lit(1)).alias("__left"))
+    left_counts = left.groupBy(*dict.fromkeys([*on, row_key])).agg(F.count(F.lit(1)).alias("__left"))
     both = left_counts.join(right_counts, on, "inner")
     return both.agg(
         F.coalesce(F.sum(F.col("__left") * F.col("__right")), F.lit(0)).cast("long").alias("joined_rows"),
@@ -157,5 +157,19 @@ def join_sizes(left: DataFrame, right: DataFrame, on: Sequence[str], row_key: st
     )
 
 
+def not_in(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFrame:
+    """Rows whose ``column`` is NOT IN the values, with SQL's three-valued logic.
+
+    A NULL among the values leaves no rows, and a NULL in ``column`` is kept only when there are
+    no values at all.  Written as an ordinary anti-join, which shuffles when the list is large;
+    the built-in null-aware form would have to broadcast it.
+    """
+    facts = values.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value).isNull()).alias("nulls"))
+    num_values, num_nulls = facts.select("n").scalar(), facts.select("nulls").scalar()
+    listed = values.select(F.col(value).alias("__value")).filter("__value is not null").distinct()
+    missing = df.join(listed, F.col(column) == F.col("__value"), "left_anti")
+    return missing.filter((num_values == 0) | ((num_nulls == 0) & F.col(column).isNotNull()))
+
+
 def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -22,8 +22,10 @@ def overwrite(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def create_table_as(df: DataFrame, table: str) -> DataFrame:
-    df.write.mode("overwrite").saveAsTable(table)
+def create_table_as(df: DataFrame, table: str, path: str | None = None) -> DataFrame:
+    """A catalogue table from a query; ``path`` keeps its files in a folder of the caller's choice."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
     return df.sparkSession.table(table)
 
 

@@ -69,7 +69,8 @@ def maintain_scd2(
             return
         state = table.read(version - 1)
         # Few values: one per snapshot date in the batch.
-        dates = [r[0] for r in batch.select(F.col(effective).cast("string")).distinct().orderBy(effective).collect()]
+        days = batch.select(F.col(effective).cast("string").alias("d")).distinct().orderBy("d")
+        dates = [row.d for row in days.collect()]
         for date in dates:
             snapshot = batch.filter(F.col(effective) == F.lit(date).cast("date"))
             members = latest_per_key(snapshot, [key], effective)
