@@ -34,7 +34,7 @@ def search_tokens(*texts: ColumnLike) -> Column:
     """Distinct lower-case words of the given texts, sorted."""
     joined = F.lower(F.concat_ws(" ", *[as_column(t) for t in texts]))
     words = F.split(joined, r"[^\p{L}\p{N}]+")
-    return F.array_sort(F.array_distinct(F.filter(words, lambda word: word != "")))
+    return F.sort_array(F.array_distinct(F.filter(words, lambda word: word != "")))
 
 
 def text_array(literal: ColumnLike) -> Column:

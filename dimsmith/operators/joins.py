@@ -133,7 +133,7 @@ def product_with_list(df: DataFrame, values: DataFrame, max_values: int = 10_000
     counted = values.limit(max_values + 1).count()
     if counted > max_values:
         raise ValueError(f"the list has more than {max_values} rows; a full product of large tables is not offered")
-    packed = values.agg(F.array_sort(F.collect_list(F.struct(*values.columns)))).scalar()
+    packed = values.agg(F.sort_array(F.collect_list(F.struct(*values.columns)))).scalar()
     exploded = df.select("*", F.explode(packed).alias("__item"))
     return exploded.select(*df.columns, *[F.col(f"__item.{c}").alias(c) for c in values.columns])
 

@@ -17,9 +17,15 @@ def assign_surrogate_keys(
     offset: int = 0,
     ranges: int | None = None,
     size_of: DataFrame | None = None,
+    stored: bool = False,
 ) -> DataFrame:
-    """Put a key ``offset + 1, offset + 2, ...`` in front, in ``order_by`` order."""
-    numbered = ordering.ordered(df, order_by, {name: ordering.row_number()}, ranges=ranges, size_of=size_of)
+    """Put a key ``offset + 1, offset + 2, ...`` in front, in ``order_by`` order.
+
+    ``size_of`` and ``stored`` are explained at :func:`dimsmith.operators.ordering.ordered`.
+    """
+    numbered = ordering.ordered(
+        df, order_by, {name: ordering.row_number()}, ranges=ranges, size_of=size_of, stored=stored
+    )
     return numbered.select((F.col(name) + F.lit(offset)).cast("long").alias(name), *df.columns)
 
 

@@ -90,11 +90,34 @@ def nest_children(
     """
     numbered = ordering.ordered(df, order_by, {"__n": ordering.row_number()}, by, ranges=ranges)
     chunked = numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / chunk_rows).cast("int"))
-    packed = chunked.groupBy(*by, "chunk").agg(F.array_sort(F.collect_list(F.struct("__n", *fields))).alias("__a"))
+    packed = chunked.groupBy(*by, "chunk").agg(F.sort_array(F.collect_list(F.struct("__n", *fields))).alias("__a"))
     children = F.transform("__a", lambda child: F.struct(*[child[f].alias(f) for f in fields]))
     return packed.select(*by, "chunk", children.alias(name))
 
 
+def list_chunks(
+    df: DataFrame,
+    by: Sequence[str],
+    value: str,
+    separator: str = ", ",
+    name: str = "listed",
+    chunk_rows: int = 100_000,
+    ranges: int | None = None,
+) -> DataFrame:
+    """Ordered text lists of the distinct values per group, for groups of any size.
+
+    Ordinary groups fill chunk 0 only.  A group with more than ``chunk_rows`` values gets several
+    rows, in order, so no task has to hold one unbounded list; joining the chunks with the
+    separator gives the whole list.
+    """
+    by = list(by)
+    values = df.select(*by, value).filter(F.col(value).isNotNull()).distinct()
+    numbered = ordering.ordered(values, [value], {"__n": ordering.row_number()}, by, ranges=ranges, size_of=df)
+    chunked = numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / chunk_rows).cast("int"))
+    text = F.expr(f"listagg({value}, '{separator}') WITHIN GROUP (ORDER BY {value})")
+    return chunked.groupBy(*by, "chunk").agg(F.count(F.lit(1)).alias("num_values"), text.alias(name))
+
+
 def histogram(df: DataFrame, value: str, low: float, high: float, bins: int) -> DataFrame:
     """Rows per equal-width bin; bin 0 lies below ``low`` and bin ``bins + 1`` at or above ``high``."""
     bucket = F.width_bucket(F.col(value), F.lit(float(low)), F.lit(float(high)), F.lit(bins))

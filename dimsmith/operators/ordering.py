@@ -2,7 +2,7 @@
 
 A window over one huge group (or over no group at all) sorts all its rows in one task.  Here
 the rows are first cut into ranges of ``(group, order)``.  A sample of bounded size gives the
-cut points, which then sit in the plan as literals, so the range of a row depends on nothing
+cut points, which then sit in the plan as constants, so the range of a row depends on nothing
 but its values and a re-run task produces the same result.  The window runs inside each range;
 groups that reach over a cut get the total of their earlier ranges added.  A cut lies inside at
 most one group, so that table of carried totals has at most two rows per cut.
@@ -12,6 +12,7 @@ Small inputs (checked by counting) take the plain window.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 
 from dimsmith.session import settle
 
-ROWS_PER_RANGE = 2_000_000
-MAX_RANGES = 512
-SAMPLE_PER_RANGE = 32
+ROWS_PER_RANGE = 500_000
+MAX_RANGES = 4096
+SAMPLE_PER_RANGE = 20
 RANGE = "__range"
 CARRY = "__carry"
 
@@ -77,6 +78,7 @@ def ordered(
     partition_by: Sequence[str] = (),
     ranges: int | None = None,
     size_of: DataFrame | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """Add ``measures`` over the rows of each ``partition_by`` group in ``order_by`` order.
 
@@ -84,7 +86,8 @@ def ordered(
     ranges; rows that tie on it always stay in one range, so ranks are exact as well (for many
     ties use :func:`rank_with_heavy_ties`).  ``size_of`` is a frame with at least as many rows
     as ``df`` that is cheap to count, such as the table ``df`` was grouped from; without it
-    ``df`` itself is counted.
+    ``df`` itself is counted.  A large ``df`` is read three times; unless it is ``stored``
+    (a table scan, cheap to read again) it is settled first.
     """
     terms = [OrderTerm.parse(t) for t in order_by]
     if ranges is None:
@@ -93,7 +96,7 @@ def ordered(
     if ranges <= 1:
         return _windowed(df, list(partition_by), terms, measures)
 
-    source = settle(df)  # read several times below
+    source = df if stored else settle(df)
     keys = [OrderTerm(c) for c in partition_by] + terms
     cuts = _cut_points(source, keys, ranges)
     marked = source.withColumn(RANGE, _range_of(keys, [_typed(source, k) for k in keys], cuts))
@@ -156,30 +159,37 @@ def _cut_points(df: DataFrame, keys: list[OrderTerm], ranges: int) -> list[tuple
 
 
 def _range_of(keys: list[OrderTerm], types: list[str], cuts: list[tuple[str | None, ...]]) -> Column:
-    """Number of cut points at or before a row, found by binary search written as nested CASE."""
+    """Number of cut points at or before a row, found by binary search.
 
-    def search(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(_before(keys, types, cuts[middle]), search(low, middle)).otherwise(search(middle + 1, high))
+    The cut points are one constant array per key column, so the expression stays the same size
+    however many there are.
+    """
+    if not cuts:
+        return F.lit(0)
+    arrays = [
+        F.from_json(F.lit(json.dumps([cut[i] for cut in cuts])), "array<string>").cast(f"array<{kind}>")
+        for i, kind in enumerate(types)
+    ]
+    steps = [2**bit for bit in reversed(range(len(cuts).bit_length()))]
+
+    def advance(found: Column, step: Column) -> Column:
+        probe = found + step
+        point = [F.get(array, probe - 1) for array in arrays]
+        return F.when((probe <= len(cuts)) & ~_before(keys, point), probe).otherwise(found)
 
-    return search(0, len(cuts))
+    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
 
 
-def _before(keys: list[OrderTerm], types: list[str], point: tuple[str | None, ...]) -> Column:
+def _before(keys: list[OrderTerm], point: list[Column]) -> Column:
     """Whether a row sorts before ``point``; never NULL. NULLs sort first ascending, last descending."""
     result = F.lit(False)
-    for key, kind, text in reversed(list(zip(keys, types, point))):
+    for key, value in reversed(list(zip(keys, point))):
         column = F.col(key.column)
-        if text is None:
-            earlier, same = (column.isNotNull() if key.descending else F.lit(False)), column.isNull()
+        if key.descending:
+            earlier = column.isNotNull() & (value.isNull() | (column > value))
         else:
-            value = F.lit(text).cast(kind)
-            earlier = column > value if key.descending else column < value
-            earlier = F.coalesce(earlier, F.lit(not key.descending))
-            same = column.eqNullSafe(value)
-        result = earlier | (same & result)
+            earlier = value.isNotNull() & (column.isNull() | (column < value))
+        result = earlier | (column.eqNullSafe(value) & result)
     return result
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from dimsmith.functions import overdue_days
 from dimsmith.operators.joins import union_all
 from dimsmith.operators.keys import next_key
+from dimsmith.operators.measures import list_chunks
 from dimsmith.plans import standin
 from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.dimensions import film_actors
@@ -133,6 +134,20 @@ def group_concat_distinct(t: Tables):
     return named.groupBy("l_partkey").agg(listed("n_name", distinct=True).alias("nations"))
 
 
+@query(
+    "string_agg_chunked",
+    """
+WITH named AS (SELECT DISTINCT n_name, c_name FROM customer JOIN nation ON c_nationkey = n_nationkey),
+     numbered AS (SELECT *, row_number() OVER (PARTITION BY n_name ORDER BY c_name) AS n FROM named)
+SELECT n_name, CAST((n - 1) // 25 AS INTEGER) AS chunk, count(*) AS num_values, string_agg(c_name, '; ' ORDER BY c_name) AS customers
+FROM numbered GROUP BY 1, 2""",
+)
+def string_agg_chunked(t: Tables):
+    """Customers of every nation: far too many for one text, so each row lists a bounded number of them."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return list_chunks(named, ["n_name"], "c_name", "; ", "customers", chunk_rows=25)
+
+
 @query(
     "array_agg_suppliers",
     f"""

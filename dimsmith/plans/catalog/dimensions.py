@@ -10,6 +10,7 @@ from dimsmith.operators.joins import point_in_time_lookup, union_all
 from dimsmith.plans import calendars, dimensions, standin
 from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.standin import tier_snapshot
+from dimsmith.session import settle
 from dimsmith.sources.readers import Tables
 from dimsmith.sources.series import days_spanned
 from dimsmith.sources.sinks import stamped
@@ -166,7 +167,7 @@ def scd2_same_batch_twice(t: Tables):
 )
 def scd2_invariants(t: Tables):
     """Violations of each rule of a type 2 dimension."""
-    return scd.scd2_violations(tier_versions(t), "customer_id", COLUMNS)
+    return scd.scd2_violations(settle(tier_versions(t)), "customer_id", COLUMNS)
 
 
 @query(
@@ -315,8 +316,8 @@ SELECT row_number() OVER (ORDER BY o_orderstatus, o_orderpriority, l_returnflag,
 FROM (SELECT DISTINCT o_orderstatus, o_orderpriority, l_returnflag, l_linestatus FROM orders JOIN lineitem ON o_orderkey = l_orderkey)""",
 )
 def junk_dimension(t: Tables):
-    """The combinations of four flags that occur; lines are reduced to flags per order before the join."""
-    flags = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus").distinct()
+    """The combinations of four flags that occur; each task of the join passes on its distinct ones only."""
+    flags = t.lineitem.select("l_orderkey", "l_returnflag", "l_linestatus")
     joined = t.orders.join(flags, F.col("o_orderkey") == F.col("l_orderkey"))
     return dimensions.junk_dimension(joined, ["o_orderstatus", "o_orderpriority", "l_returnflag", "l_linestatus"])
 

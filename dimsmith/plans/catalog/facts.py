@@ -15,11 +15,16 @@ from dimsmith.sources.readers import Tables
 
 def star(t: Tables) -> facts.Dimensions:
     """Natural and surrogate keys of the four dimensions, numbered like the full ones."""
+
+    def keyed(table, natural: str, name: str, offset: int = 0):
+        keys = table.select(F.col(natural).alias(f"{name}_id"))
+        return assign_surrogate_keys(keys, [f"{name}_id"], f"{name}_dim_id", offset, stored=True)
+
     return facts.Dimensions(
-        customer=assign_surrogate_keys(t.customer.select(F.col("c_custkey").alias("customer_id")), ["customer_id"], "customer_dim_id"),
-        staff=assign_surrogate_keys(t.supplier.select(F.col("s_suppkey").alias("staff_id")), ["staff_id"], "staff_dim_id"),
-        film=assign_surrogate_keys(t.part.select(F.col("p_partkey").alias("film_id")), ["film_id"], "film_dim_id", 1000),
-        store=assign_surrogate_keys(t.supplier.select(F.col("s_suppkey").alias("store_id")), ["store_id"], "store_dim_id", 100),
+        customer=keyed(t.customer, "c_custkey", "customer"),
+        staff=keyed(t.supplier, "s_suppkey", "staff"),
+        film=keyed(t.part, "p_partkey", "film", 1000),
+        store=keyed(t.supplier, "s_suppkey", "store", 100),
     )
 
 
@@ -49,8 +54,9 @@ FROM lines JOIN c ON customer_id = c_custkey JOIN s ON store_id = s_suppkey JOIN
 )
 def fact_transaction(t: Tables):
     """One row per order line, money cleaned from text, four lookups, date and time keys."""
-    lines = standin.rental_lines(t, amount_as_text=True).withColumn("amount", fn.money("amount"))
-    return facts.transaction_fact(lines, star(t))
+    dims = star(t)
+    lines = standin.rental_lines(t, amount_as_text=True, dims=dims).withColumn("amount", fn.money("amount"))
+    return facts.transaction_fact(lines, dims)
 
 
 WEEK = "CAST(isoyear(rental_date) * 100 + week(rental_date) AS INTEGER)"

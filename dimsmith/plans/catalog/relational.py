@@ -301,7 +301,7 @@ def join_salted(t: Tables):
 
 
 def _customer_keys(t: Tables):
-    return assign_surrogate_keys(t.customer, ["c_custkey"], "customer_dim_id", offset=100)
+    return assign_surrogate_keys(t.customer, ["c_custkey"], "customer_dim_id", offset=100, stored=True)
 
 
 CUSTOMER_KEYS = "(SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_custkey) + 100 AS customer_dim_id FROM customer)"

@@ -93,7 +93,7 @@ def latest_per_key(t: Tables):
 @query("surrogate_keys", "SELECT row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS order_dim_id, o_orderkey, o_custkey FROM orders")
 def surrogate_keys(t: Tables):
     """Orders numbered by date and key."""
-    keyed = assign_surrogate_keys(t.orders, ["o_orderdate", "o_orderkey"], "order_dim_id")
+    keyed = assign_surrogate_keys(t.orders, ["o_orderdate", "o_orderkey"], "order_dim_id", stored=True)
     return keyed.select("order_dim_id", "o_orderkey", "o_custkey")
 
 
@@ -112,7 +112,7 @@ def surrogate_keys_ranged(t: Tables):
 
 @query("surrogate_keys_offset", "SELECT row_number() OVER (ORDER BY p_partkey) + 1000 AS film_dim_id, p_partkey, p_name FROM part")
 def surrogate_keys_offset(t: Tables):
-    return assign_surrogate_keys(t.part, ["p_partkey"], "film_dim_id", offset=1000).select("film_dim_id", "p_partkey", "p_name")
+    return assign_surrogate_keys(t.part, ["p_partkey"], "film_dim_id", offset=1000, stored=True).select("film_dim_id", "p_partkey", "p_name")
 
 
 FIRST_ORDER = "(SELECT o_custkey, min(o_orderdate) AS first_order FROM orders GROUP BY 1)"

@@ -8,6 +8,7 @@ tables; any other source only has to provide the same columns.
 
 from __future__ import annotations
 
+import datetime
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -27,28 +28,40 @@ class Dimensions:
     store: DataFrame
 
 
-def rental_lines(rental: DataFrame, payment: DataFrame, inventory: DataFrame, staff: DataFrame) -> DataFrame:
-    """Rentals with their payments, the rented copy, and the store of the staff member in charge."""
-    paid = payment.select("payment_id", "rental_id", "amount", "payment_date")
-    copies = inventory.select("inventory_id", "film_id")
-    return (
-        rental.join(paid, "rental_id")
-        .join(copies, "inventory_id")
-        .join(staff.select("staff_id", "store_id"), "staff_id")
-        .withColumn("amount", fn.money("amount"))
-    )
-
-
 def is_active(dim: DataFrame) -> Column | None:
     return F.col("dim_active").cast("int") == 1 if "dim_active" in dim.columns else None
 
 
-def resolve(lines: DataFrame, dims: Dimensions, names: tuple[str, ...] = ("customer", "staff", "film", "store")) -> DataFrame:
-    """Natural keys to surrogate keys of the active versions; a line missing from any dimension is dropped."""
+def resolve(rows: DataFrame, dims: Dimensions, names: tuple[str, ...] = ("customer", "staff", "film", "store")) -> DataFrame:
+    """Natural keys to surrogate keys of the active versions; a row missing from any dimension is dropped.
+
+    Surrogate keys that ``rows`` already carries are not looked up again.
+    """
     for name in names:
-        dim = getattr(dims, name)
-        lines = lookup(lines, dim, {f"{name}_id": f"{name}_id"}, f"{name}_dim_id", is_active(dim))
-    return lines
+        if f"{name}_dim_id" not in rows.columns:
+            dim = getattr(dims, name)
+            rows = lookup(rows, dim, {f"{name}_id": f"{name}_id"}, f"{name}_dim_id", is_active(dim))
+    return rows
+
+
+def rental_lines(
+    rental: DataFrame, payment: DataFrame, inventory: DataFrame, staff: DataFrame, dims: Dimensions | None = None
+) -> DataFrame:
+    """Rentals with their payments, the rented copy, and the store of the staff member in charge.
+
+    With ``dims`` every natural key is resolved in the smallest table that holds it: customers per
+    rental, films per copy, staff and stores per staff member.  The fact itself then needs no
+    lookup joins of its own, and no shuffle for them.
+    """
+    paid = payment.select("payment_id", "rental_id", "amount", "payment_date")
+    copies = inventory.select("inventory_id", "film_id")
+    people = staff.select("staff_id", "store_id")
+    if dims is not None:
+        rental, copies = resolve(rental, dims, ("customer",)), resolve(copies, dims, ("film",))
+        people = resolve(people, dims, ("staff", "store"))
+    return (
+        rental.join(paid, "rental_id").join(copies, "inventory_id").join(people, "staff_id").withColumn("amount", fn.money("amount"))
+    )
 
 
 def transaction_fact(lines: DataFrame, dims: Dimensions) -> DataFrame:
@@ -82,8 +95,13 @@ def periodic_fact(
     see one row per group instead of one per payment.  Every natural key has one active
     surrogate, so the grain stays the same.
     """
-    week = fn.iso_week_key("rental_date", calendar_year)
-    rows = lines.withColumn("year_week", week)
+    rows = lines
+    for week, is_last in ((first_week, False), (last_week, True)):
+        if week is not None:
+            bound = F.lit(_outer_date(week, is_last, calendar_year)).cast("timestamp_ntz")
+            # On the bare column, so that the scan can skip row groups.
+            rows = rows.filter(F.col("rental_date") < bound if is_last else F.col("rental_date") >= bound)
+    rows = rows.withColumn("year_week", fn.iso_week_key("rental_date", calendar_year))
     if first_week is not None:
         rows = rows.filter(F.col("year_week") >= first_week)
     if last_week is not None:
@@ -96,6 +114,15 @@ def periodic_fact(
     )
 
 
+def _outer_date(week: int, is_last: bool, calendar_year: bool) -> str:
+    """A date before which (or from which on) no day can belong to ``week`` or anything beyond it."""
+    year, number = divmod(week, 100)
+    if calendar_year:
+        return f"{year + 1 if is_last else year}-01-01"
+    monday = datetime.date.fromisocalendar(year, number, 1)
+    return (monday + datetime.timedelta(days=7) if is_last else monday).isoformat()
+
+
 def average_time_fact(rentals: DataFrame, dims: Dimensions) -> DataFrame:
     """Average rental days per month, copy, film and store.
 

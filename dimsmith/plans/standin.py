@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dimsmith.plans.facts import Dimensions, resolve
 from dimsmith.sources.readers import Tables
 
 MONEY = "decimal(18,2)"
@@ -143,10 +144,11 @@ def line_amount():
     return F.round(net, 2).cast(MONEY)
 
 
-def rental_lines(t: Tables, amount_as_text: bool = False) -> DataFrame:
+def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | None = None) -> DataFrame:
     """One row per order line: taken on the order date, returned on the ship date, paid on the order date.
 
     ``amount_as_text`` writes amounts the way the rental source does, with a leading ``$``.
+    With ``dims`` the customer's surrogate key is looked up per order, before the lines multiply it.
     """
     amount = F.concat(F.lit("$"), line_amount().cast("string")) if amount_as_text else line_amount()
     lines = t.lineitem.select(
@@ -163,6 +165,8 @@ def rental_lines(t: Tables, amount_as_text: bool = False) -> DataFrame:
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("rental_date"),
     )
+    if dims is not None:
+        orders = resolve(orders, dims, ("customer",))
     return lines.join(orders, "rental_id").select(
         "rental_id",
         "payment_id",
@@ -177,6 +181,7 @@ def rental_lines(t: Tables, amount_as_text: bool = False) -> DataFrame:
         F.col("rental_date").alias("payment_date"),
         "amount",
         F.col("return_date").alias("last_update"),
+        *(["customer_dim_id"] if dims is not None else []),
     )
 
 

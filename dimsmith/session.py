@@ -7,7 +7,11 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from dimsmith.sources.paths import drop_folder
+
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SETTLED = "settled"
+_settled: dict[str, list[str]] = {}
 
 # Settings every job here is designed around.  All are runtime SQL settings, so a
 # cluster may override any of them.
@@ -50,11 +54,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` to reliable storage once, so later passes read it instead of recomputing.
+    """Write ``df`` to the shared folder once, so later passes read it instead of recomputing it.
 
-    This is a reliable checkpoint: losing an executor afterwards costs a re-read, not a re-run.
+    The copy is parquet: a later pass reads only the columns it needs, its size is known to the
+    planner, and losing an executor costs a re-read, not a re-run.  See :func:`release`.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = fresh_path(spark, SETTLED)
+    df.write.parquet(path)
+    _settled.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> int:
+    """Drop the settled copies this session made. Call it once the results are written."""
+    dropped = _settled.pop(spark.sparkContext.applicationId, [])
+    for path in dropped:
+        drop_folder(spark, path)
+    return len(dropped)

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dimsmith.operators.dedup import latest_per_key
 from dimsmith.operators.scd import VersionColumns, scd2_upsert
+from dimsmith.session import settle
 from dimsmith.sources.sinks import VersionedTable
 
 
@@ -71,7 +72,9 @@ def maintain_scd2(
         # Few values: one per snapshot date in the batch.
         days = batch.select(F.col(effective).cast("string").alias("d")).distinct().orderBy("d")
         dates = [row.d for row in days.collect()]
-        for date in dates:
+        for place, date in enumerate(dates):
+            if place:
+                state = settle(state)  # the next upsert reads it several times
             snapshot = batch.filter(F.col(effective) == F.lit(date).cast("date"))
             members = latest_per_key(snapshot, [key], effective)
             state = scd2_upsert(state, members, key, tracked, date, columns)

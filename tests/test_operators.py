@@ -147,6 +147,15 @@ def test_nest_children_keeps_every_row(spark, ranges):
     assert nested.filter("p = 7").count() == 5
 
 
+@pytest.mark.parametrize("ranges", [None, 4])
+def test_list_chunks_join_to_the_whole_list(spark, ranges):
+    df = spark.createDataFrame([("a" if i % 3 else "b", f"v{i % 40:02d}") for i in range(200)] + [("a", None)], "g string, v string")
+    chunks = measures.list_chunks(df, ["g"], "v", "; ", chunk_rows=7, ranges=ranges)
+    assert chunks.agg(F.max("num_values")).collect()[0][0] == 7
+    whole = {g: "; ".join(r.listed for r in sorted(chunks.filter(F.col("g") == g).collect(), key=lambda r: r.chunk)) for g in "ab"}
+    assert whole == {g: "; ".join(f"v{i:02d}" for i in range(40)) for g in "ab"}
+
+
 def test_histogram_edges(spark):
     df = spark.createDataFrame([(v,) for v in (-1.0, 0.0, 9.9, 10.0, 20.0)], "v double")
     assert tuples(measures.histogram(df, "v", 0, 20, 2)) == [(0, 1), (1, 2), (2, 1), (3, 1)]

@@ -117,12 +117,14 @@ def star(model):
     )
 
 
-def lines(model):
-    return facts.rental_lines(model["rental"], model["payment"], model["inventory"], model["staff"])
+def lines(model, dims=None):
+    return facts.rental_lines(model["rental"], model["payment"], model["inventory"], model["staff"], dims)
 
 
-def test_transaction_fact(model):
-    fact = facts.transaction_fact(lines(model), star(model)).drop("last_update")
+@pytest.mark.parametrize("early", [False, True])
+def test_transaction_fact(model, early):
+    dims = star(model)
+    fact = facts.transaction_fact(lines(model, dims if early else None), dims).drop("last_update")
     assert tuples(fact) == [
         (1, 10, 1, 20050525, "11:30", 20050524, "22:53", 20050526, "22:04", 1, 1, 1001, 101, Decimal("2.99")),
         (2, 11, 2, 20050602, "00:01", 20050531, "08:00", 20050620, "08:00", 1, 2, 1001, 102, Decimal("0.99")),

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimsmith import functions as fn
-from dimsmith.session import fresh_path, settle, shared_dir
-from dimsmith.sources import layout, readers, series, sinks
+from dimsmith.session import fresh_path, release, settle, shared_dir
+from dimsmith.sources import layout, paths, readers, series, sinks
 from tests.conftest import tuples
 
 
@@ -145,4 +145,11 @@ def test_overdue_days(spark):
 def test_shared_dir_comes_from_the_session(spark):
     assert shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
-    assert settle(spark.range(3)).count() == 3
+
+
+def test_settled_copies_are_released(spark):
+    release(spark)
+    settled = settle(spark.range(3))
+    path = settled.inputFiles()[0].rsplit("/", 1)[0]
+    assert settled.count() == 3 and paths.exists(spark, path)
+    assert release(spark) == 1 and not paths.exists(spark, path)
