@@ -35,16 +35,18 @@ def salted_join(
 ) -> DataFrame:
     """Join where some keys of ``left`` hold a large part of its rows and ``right`` is too big to broadcast.
 
-    Left rows of a hot key are spread over ``salts`` tasks by a hash of the whole row; right rows
-    of a hot key are repeated once per salt.  Other keys keep salt 0.  Left rows with a NULL key
-    match nothing and are spread as well.  The result is that of the
+    Left rows of a hot key are spread over ``salts`` tasks; right rows of a hot key are repeated
+    once per salt.  Other keys keep salt 0.  Left rows with a NULL key match nothing and are
+    spread as well.  A row's salt comes from its values and the number of the task that reads it:
+    the first spreads different rows, the second exact copies, and neither changes when the
+    task runs again.  The result is that of the
     plain join.  The hot-key table has at most ``1 / share`` rows, so broadcasting it is safe.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting the left side cannot keep the rows of a {how} join")
     on = list(on)
     hot = F.broadcast(hot_keys(left, on, share).withColumn("__hot", F.lit(True)))
-    row_hash = F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int")
+    row_hash = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
     no_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in on])
     spread = left.join(hot, on, "left").withColumn(SALT, F.when(F.col("__hot") | no_key, row_hash).otherwise(0))
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
@@ -128,13 +130,12 @@ def product_with_list(df: DataFrame, values: DataFrame, max_values: int = 10_000
     """Every row of ``df`` combined with every row of a short list (small dimensions only).
 
     The list travels as one array inside the plan and is exploded next to each row, so nothing is
-    shuffled.  A list longer than ``max_values`` is refused rather than cut.
+    shuffled.  The query fails on a list longer than ``max_values`` rather than cutting it.
     """
-    counted = values.limit(max_values + 1).count()
-    if counted > max_values:
-        raise ValueError(f"the list has more than {max_values} rows; a full product of large tables is not offered")
-    packed = values.agg(F.sort_array(F.collect_list(F.struct(*values.columns)))).scalar()
-    exploded = df.select("*", F.explode(packed).alias("__item"))
+    rows = values.limit(max_values + 1).agg(F.sort_array(F.collect_list(F.struct(*values.columns))).alias("rows"))
+    refusal = F.raise_error(F.lit(f"the list has more than {max_values} rows; large products are not offered"))
+    checked = rows.select(F.when(F.size("rows") > max_values, refusal).otherwise(F.col("rows")))
+    exploded = df.select("*", F.explode(checked.scalar()).alias("__item"))
     return exploded.select(*df.columns, *[F.col(f"__item.{c}").alias(c) for c in values.columns])
 
 

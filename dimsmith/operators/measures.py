@@ -82,13 +82,14 @@ def nest_children(
     name: str = "children",
     chunk_rows: int = 10_000,
     ranges: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Denormalise: the children of each parent as arrays of structs, in order.
 
     Ordinary parents fill chunk 0 only; a parent with more than ``chunk_rows`` children gets
     several rows, so no task ever has to build one unbounded array.
     """
-    numbered = ordering.ordered(df, order_by, {"__n": ordering.row_number()}, by, ranges=ranges)
+    numbered = ordering.ordered(df, order_by, {"__n": ordering.row_number()}, by, ranges, size_of)
     chunked = numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / chunk_rows).cast("int"))
     packed = chunked.groupBy(*by, "chunk").agg(F.sort_array(F.collect_list(F.struct("__n", *fields))).alias("__a"))
     children = F.transform("__a", lambda child: F.struct(*[child[f].alias(f) for f in fields]))
@@ -103,6 +104,7 @@ def list_chunks(
     name: str = "listed",
     chunk_rows: int = 100_000,
     ranges: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Ordered text lists of the distinct values per group, for groups of any size.
 
@@ -112,7 +114,8 @@ def list_chunks(
     """
     by = list(by)
     values = df.select(*by, value).filter(F.col(value).isNotNull()).distinct()
-    numbered = ordering.ordered(values, [value], {"__n": ordering.row_number()}, by, ranges=ranges, size_of=df)
+    size_of = df if size_of is None else size_of
+    numbered = ordering.ordered(values, [value], {"__n": ordering.row_number()}, by, ranges, size_of)
     chunked = numbered.withColumn("chunk", F.floor((F.col("__n") - 1) / chunk_rows).cast("int"))
     text = F.expr(f"listagg({value}, '{separator}') WITHIN GROUP (ORDER BY {value})")
     return chunked.groupBy(*by, "chunk").agg(F.count(F.lit(1)).alias("num_values"), text.alias(name))

@@ -113,6 +113,7 @@ def rank_with_heavy_ties(
     rank_name: str = "value_rank",
     dense_name: str = "value_dense_rank",
     ranges: int | None = None,
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """RANK and DENSE_RANK by ``value`` where one value may hold a large part of the rows.
 
@@ -122,9 +123,8 @@ def rank_with_heavy_ties(
     order = [f"{value} desc" if descending else value]
     by = [*partition_by, value]
     levels = df.groupBy(*by).agg(F.count(F.lit(1)).alias("__rows"))
-    placed = ordered(
-        levels, order, {dense_name: row_number(), "__through": running_sum("__rows")}, partition_by, ranges, size_of=df
-    )
+    measures = {dense_name: row_number(), "__through": running_sum("__rows")}
+    placed = ordered(levels, order, measures, partition_by, ranges, size_of=df if size_of is None else size_of)
     ranks = placed.select(*by, (F.col("__through") - F.col("__rows") + 1).alias(rank_name), dense_name)
     return _null_safe_join(df, ranks, by, "inner")
 

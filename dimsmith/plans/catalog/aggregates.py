@@ -145,7 +145,7 @@ FROM numbered GROUP BY 1, 2""",
 def string_agg_chunked(t: Tables):
     """Customers of every nation: far too many for one text, so each row lists a bounded number of them."""
     named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    return list_chunks(named, ["n_name"], "c_name", "; ", "customers", chunk_rows=25)
+    return list_chunks(named, ["n_name"], "c_name", "; ", "customers", chunk_rows=25, size_of=t.customer)
 
 
 @query(

@@ -46,6 +46,7 @@ def rank_by_spend_derived(t: Tables):
         SELECT c_nationkey, c_custkey, amount, rank() OVER (PARTITION BY c_nationkey ORDER BY amount DESC) AS place
         FROM (SELECT c_nationkey, c_custkey, sum(CAST(o_totalprice AS DECIMAL(18,2))) AS amount
               FROM {orders} JOIN {customer} ON o_custkey = c_custkey GROUP BY 1, 2)
+        ORDER BY 1, 4, 2
         """,
         orders=t.orders,
         customer=t.customer,
@@ -63,7 +64,7 @@ def dense_rank_spend(t: Tables):
     """Customers ranked by number of orders, where very many tie: the distinct values are ranked once."""
     totals = t.orders.groupBy("o_custkey").agg(F.count(F.lit(1)).alias("num_orders"))
     counted = t.customer.select("c_custkey", "c_nationkey").join(totals, F.col("c_custkey") == F.col("o_custkey")).drop("o_custkey")
-    return ordering.rank_with_heavy_ties(counted, "num_orders", ["c_nationkey"])
+    return ordering.rank_with_heavy_ties(counted, "num_orders", ["c_nationkey"], size_of=t.customer)
 
 
 @query(

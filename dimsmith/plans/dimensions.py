@@ -15,6 +15,7 @@ from dimsmith.functions.text import clean_key, full_name
 from dimsmith.operators.dedup import latest_per_key
 from dimsmith.operators.keys import assign_surrogate_keys
 from dimsmith.operators.scd import OPEN_END, VersionColumns, scd2_initial
+from dimsmith.session import settle
 
 # Surrogate keys of films start after 1000, those of stores after 100.
 FILM_KEY_OFFSET = 1000
@@ -169,9 +170,10 @@ def junk_dimension(df: DataFrame, flags: Sequence[str], key: str = "junk_dim_id"
     """The combinations of low-cardinality flags that occur, with a surrogate key in value order.
 
     Combinations are reduced inside each task before the shuffle, so ``df`` may be a whole fact.
+    They are settled before they are counted and numbered, so ``df`` is read once.
     """
-    combinations = df.select(*flags).distinct()
-    return assign_surrogate_keys(combinations, list(flags), key)
+    combinations = settle(df.select(*flags).distinct())
+    return assign_surrogate_keys(combinations, list(flags), key, stored=True)
 
 
 def conformed_customer(bridge: DataFrame, ids: Mapping[str, str]) -> DataFrame:

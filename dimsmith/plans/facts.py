@@ -9,6 +9,7 @@ tables; any other source only has to provide the same columns.
 from __future__ import annotations
 
 import datetime
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -32,15 +33,22 @@ def is_active(dim: DataFrame) -> Column | None:
     return F.col("dim_active").cast("int") == 1 if "dim_active" in dim.columns else None
 
 
-def resolve(rows: DataFrame, dims: Dimensions, names: tuple[str, ...] = ("customer", "staff", "film", "store")) -> DataFrame:
+def resolve(
+    rows: DataFrame,
+    dims: Dimensions,
+    names: Sequence[str] = ("customer", "staff", "film", "store"),
+    hot_key_salts: int | None = None,
+) -> DataFrame:
     """Natural keys to surrogate keys of the active versions; a row missing from any dimension is dropped.
 
-    Surrogate keys that ``rows`` already carries are not looked up again.
+    Surrogate keys that ``rows`` already carries are not looked up again.  ``hot_key_salts``
+    spreads rows of hot members (see ``lookup``) where a dimension is too large to broadcast.
     """
     for name in names:
         if f"{name}_dim_id" not in rows.columns:
             dim = getattr(dims, name)
-            rows = lookup(rows, dim, {f"{name}_id": f"{name}_id"}, f"{name}_dim_id", is_active(dim))
+            key = {f"{name}_id": f"{name}_id"}
+            rows = lookup(rows, dim, key, f"{name}_dim_id", is_active(dim), hot_key_salts=hot_key_salts)
     return rows
 
 
@@ -64,9 +72,9 @@ def rental_lines(
     )
 
 
-def transaction_fact(lines: DataFrame, dims: Dimensions) -> DataFrame:
+def transaction_fact(lines: DataFrame, dims: Dimensions, hot_key_salts: int | None = None) -> DataFrame:
     """One row per payment of a rental, dates as keys, times as labels, dimensions as surrogate keys."""
-    return resolve(lines, dims).select(
+    return resolve(lines, dims, hot_key_salts=hot_key_salts).select(
         "rental_id",
         "payment_id",
         "inventory_id",

@@ -34,6 +34,20 @@ def build_session(app: str = "dimsmith", master: str | None = None, **settings:
     return builder.getOrCreate()
 
 
+def sized_for(shuffled_bytes: int, cores: int, per_task: int = 128 * 1024**2) -> dict[str, str]:
+    """Settings that keep a shuffle of ``shuffled_bytes`` at about ``per_task`` bytes a task.
+
+    Adaptive execution merges partitions that turn out small, so the number errs on the high
+    side; it can split only hot ones, so too few would mean spilling.
+    """
+    partitions = max(cores, -(-shuffled_bytes // per_task))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_task),
+        "spark.sql.files.maxPartitionBytes": str(per_task),
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors can reach, as named by the cluster.
 

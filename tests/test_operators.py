@@ -34,6 +34,16 @@ def test_salted_join_keeps_duplicates_of_both_sides(facts, dim):
     assert joins.salted_join(facts, twice, ["k"], share=0.1, salts=3).count() == facts.join(twice, "k").count()
 
 
+def test_salts_spread_exact_copies(spark):
+    """Copies that come from several input tasks get several salts."""
+    copies = spark.range(0, 800, 1, 8).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    other = spark.createDataFrame([(1, "x")], "k int, w string").repartition(2)
+    plan = joins.salted_join(copies, other, ["k"], share=0.5, salts=8)
+    assert plan.count() == 800
+    salts = copies.select(F.pmod(F.xxhash64("k", "v") + F.spark_partition_id(), F.lit(8)).alias("s")).distinct()
+    assert salts.count() == 8
+
+
 def test_salted_join_refuses_full(facts, dim):
     with pytest.raises(ValueError):
         joins.salted_join(facts, dim, ["k"], "full")
@@ -82,8 +92,8 @@ def test_point_in_time(spark, sliced):
 def test_product_with_list(spark, dim):
     values = spark.createDataFrame([("x", 1), ("y", 2)], "a string, b int")
     assert joins.product_with_list(dim, values).count() == 18
-    with pytest.raises(ValueError):
-        joins.product_with_list(dim, values, max_values=1)
+    with pytest.raises(Exception, match="more than 1 rows"):
+        joins.product_with_list(dim, values, max_values=1).collect()
 
 
 def test_join_sizes_equal_the_join(spark):

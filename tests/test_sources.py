@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimsmith import functions as fn
-from dimsmith.session import fresh_path, release, settle, shared_dir
+from dimsmith.session import fresh_path, release, settle, shared_dir, sized_for
 from dimsmith.sources import layout, paths, readers, series, sinks
 from tests.conftest import tuples
 
@@ -147,6 +147,18 @@ def test_shared_dir_comes_from_the_session(spark):
     assert fresh_path(spark, "a") != fresh_path(spark, "a")
 
 
+def test_sized_for():
+    assert sized_for(100 * 1024**4, 4000)["spark.sql.shuffle.partitions"] == "819200"
+    assert sized_for(1, 8)["spark.sql.shuffle.partitions"] == "8"
+
+
+def test_views_by_name(spark, data_dir):
+    readers.Tables(spark, data_dir).register_views(["region"])
+    assert spark.table("region").count() == 5
+    with pytest.raises(AttributeError):
+        readers.Tables(spark, data_dir).nothing
+
+
 def test_settled_copies_are_released(spark):
     release(spark)
     settled = settle(spark.range(3))
