@@ -21,8 +21,20 @@ ORDER_DAYS = (
 )
 
 
-def holiday(days: str, name: str) -> str:
-    return f"CASE WHEN strftime(d, '%m%d') IN ({days}) THEN 'Holiday' ELSE 'No holiday' END AS {name}"
+MMDD = "month(d) * 100 + day(d)"
+
+
+def holiday(name: str) -> str:
+    listed = ", ".join(str(day) for day in calendars.HOLIDAYS[name])
+    return f"if({MMDD} IN ({listed}), 'Holiday', 'No holiday') AS {name}"
+
+
+def period() -> str:
+    after, until = calendars.WINTER_BREAK
+    text = f"if({MMDD} > {after} OR {MMDD} <= {until}, 'Winter break', 'Normal')"
+    for name, first, last in calendars.PERIODS:
+        text = f"if({MMDD} >= {first} AND {MMDD} <= {last}, '{name}', {text})"
+    return text
 
 
 @query(
@@ -31,15 +43,9 @@ def holiday(days: str, name: str) -> str:
 SELECT CAST(strftime(d, '%Y%m%d') AS INTEGER) AS date_id, year(d) AS year, month(d) AS month, monthname(d) AS monthname, day(d) AS day,
   dayofyear(d) AS dayofyear, dayname(d) AS weekdayname, week(d) AS calendarweek, strftime(d, '%d. %m. %Y') AS formatteddate,
   'Q' || quarter(d) AS quartal, year(d) || '/Q' || quarter(d) AS yearquartal, strftime(d, '%Y/%m') AS yearmonth,
-  strftime(d, '%G/%V') AS yearcalendarweek, CASE WHEN isodow(d) IN (6, 7) THEN 'Weekend' ELSE 'Weekday' END AS weekend,
-  {holiday("'0101','0704','1225','1226'", "americanholiday")},
-  {holiday("'0101','0106','0501','0815','1101','1208','1225','1226'", "austrianholiday")},
-  {holiday("'0101','0701','1225','1226'", "canadianholiday")},
-  CASE WHEN strftime(d, '%m%d') BETWEEN '0701' AND '0831' THEN 'Summer break'
-       WHEN strftime(d, '%m%d') BETWEEN '1115' AND '1225' THEN 'Christmas season'
-       WHEN strftime(d, '%m%d') > '1225' OR strftime(d, '%m%d') <= '0106' THEN 'Winter break' ELSE 'Normal' END AS period,
-  CAST(CAST(d - CAST(isodow(d) - 1 AS INTEGER) AS DATE) AS VARCHAR) AS cwstart,
-  CAST(CAST(d + CAST(7 - isodow(d) AS INTEGER) AS DATE) AS VARCHAR) AS cwend,
+  strftime(d, '%G/%V') AS yearcalendarweek, if(isodow(d) > 5, 'Weekend', 'Weekday') AS weekend,
+  {holiday("americanholiday")}, {holiday("austrianholiday")}, {holiday("canadianholiday")}, {period()} AS period,
+  CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS cwstart, CAST(CAST(date_trunc('week', d) AS DATE) + 6 AS VARCHAR) AS cwend,
   CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS monthstart, CAST(last_day(d) AS VARCHAR) AS monthend
 FROM {ORDER_DAYS}""",
 )
@@ -51,7 +57,7 @@ def dim_date(t: Tables):
 @query(
     "dim_week",
     f"""
-WITH w AS (SELECT DISTINCT CAST(d - CAST(isodow(d) - 1 AS INTEGER) AS DATE) AS s FROM {ORDER_DAYS}), x AS (SELECT s, s + 3 AS h FROM w)
+WITH w AS (SELECT DISTINCT CAST(date_trunc('week', d) AS DATE) AS s FROM {ORDER_DAYS}), x AS (SELECT s, s + 3 AS h FROM w)
 SELECT CAST(isoyear(s) * 100 + week(s) AS INTEGER) AS week_id, year(h) AS year, month(h) AS month, monthname(h) AS monthname,
   week(s) AS calendarweek, 'Q' || quarter(h) AS quartal, year(h) || '/Q' || quarter(h) AS yearquartal,
   strftime(h, '%Y/%m') AS yearmonth, strftime(s, '%G/%V') AS yearcalendarweek, CAST(s AS VARCHAR) AS cwstart,
@@ -69,8 +75,7 @@ def dim_week(t: Tables):
 SELECT DISTINCT CAST(year(d) * 100 + week(d) AS INTEGER) AS week_id, year(d) AS year, month(d) AS month, monthname(d) AS monthname,
   week(d) AS calendarweek, 'Q' || quarter(d) AS quartal, year(d) || '/Q' || quarter(d) AS yearquartal,
   strftime(d, '%Y/%m') AS yearmonth, strftime(d, '%G/%V') AS yearcalendarweek,
-  CAST(CAST(d - CAST(isodow(d) - 1 AS INTEGER) AS DATE) AS VARCHAR) AS cwstart,
-  CAST(CAST(d + CAST(7 - isodow(d) AS INTEGER) AS DATE) AS VARCHAR) AS cwend,
+  CAST(CAST(date_trunc('week', d) AS DATE) AS VARCHAR) AS cwstart, CAST(CAST(date_trunc('week', d) AS DATE) + 6 AS VARCHAR) AS cwend,
   CAST(CAST(date_trunc('month', d) AS DATE) AS VARCHAR) AS monthstart, CAST(last_day(d) AS VARCHAR) AS monthend
 FROM {ORDER_DAYS}""",
 )

@@ -22,10 +22,10 @@ def day(text):
 @pytest.fixture(scope="module")
 def stored(spark):
     rows = [
-        (1, 289374, "Ann", "Hill Road 1", day("2014-01-01"), OPEN, 1),
-        (2, 862447, "Sue", "Lake View 9", day("2015-03-23"), day("2018-11-17"), 0),
-        (3, 862447, "Sue", "Park Lane 4", day("2018-11-18"), OPEN, 1),
-        (4, 31568, "Will", "Sharp Way 7", day("2018-12-07"), OPEN, 1),
+        (1, 4001, "Ann", "Hill Road 1", day("2014-01-01"), OPEN, 1),
+        (2, 4002, "Sue", "Lake View 9", day("2015-03-23"), day("2018-11-17"), 0),
+        (3, 4002, "Sue", "Park Lane 4", day("2018-11-18"), OPEN, 1),
+        (4, 4003, "Will", "Sharp Way 7", day("2018-12-07"), OPEN, 1),
     ]
     return spark.createDataFrame(rows, "key long, number long, name string, address string, start date, end date, active int")
 
@@ -33,10 +33,10 @@ def stored(spark):
 @pytest.fixture(scope="module")
 def incoming(spark):
     rows = [
-        (289374, "Ann", "Derry Court 45"),
-        (932574, "Lisa", "Mason Road 6"),
-        (862447, "Sue", "Park Lane 4"),
-        (31568, "Will", "Sharp Way 7"),
+        (4001, "Ann", "Derry Court 45"),
+        (4004, "Lisa", "Mason Road 6"),
+        (4002, "Sue", "Park Lane 4"),
+        (4003, "Will", "Sharp Way 7"),
     ]
     return spark.createDataFrame(rows, "number long, name string, address string")
 
@@ -54,12 +54,12 @@ def test_worked_example(stored, incoming, ranges):
     result = upsert(stored, incoming, ranges=ranges)
     assert result.columns == stored.columns
     assert tuples(result, "key", "number", "address", "start", "end", "active") == [
-        (1, 289374, "Hill Road 1", day("2014-01-01"), BEFORE, 0),
-        (2, 862447, "Lake View 9", day("2015-03-23"), day("2018-11-17"), 0),
-        (3, 862447, "Park Lane 4", day("2018-11-18"), OPEN, 1),
-        (4, 31568, "Sharp Way 7", day("2018-12-07"), OPEN, 1),
-        (5, 289374, "Derry Court 45", D, OPEN, 1),
-        (6, 932574, "Mason Road 6", D, OPEN, 1),
+        (1, 4001, "Hill Road 1", day("2014-01-01"), BEFORE, 0),
+        (2, 4002, "Lake View 9", day("2015-03-23"), day("2018-11-17"), 0),
+        (3, 4002, "Park Lane 4", day("2018-11-18"), OPEN, 1),
+        (4, 4003, "Sharp Way 7", day("2018-12-07"), OPEN, 1),
+        (5, 4001, "Derry Court 45", D, OPEN, 1),
+        (6, 4004, "Mason Road 6", D, OPEN, 1),
     ]
     assert set(violations(result).values()) == {0}
 
@@ -71,27 +71,27 @@ def test_same_batch_twice_changes_nothing(stored, incoming):
 
 def test_blank_and_null(spark, stored):
     base = stored.withColumn("address", F.when(F.col("key") == 1, None).when(F.col("key") == 4, "").otherwise(F.col("address")))
-    batch = spark.createDataFrame([(289374, "Ann", ""), (31568, "Will", None), (862447, "Sue", None)], "number long, name string, address string")
+    batch = spark.createDataFrame([(4001, "Ann", ""), (4003, "Will", None), (4002, "Sue", None)], "number long, name string, address string")
     result = upsert(base, batch)
-    assert [r.number for r in result.filter("key > 4").collect()] == [862447]
+    assert [r.number for r in result.filter("key > 4").collect()] == [4002]
 
 
 def test_missing_member_stays_open(stored, incoming):
-    result = upsert(stored, incoming.filter("number = 932574"))
+    result = upsert(stored, incoming.filter("number = 4004"))
     assert result.filter("active = 1").count() == 4
 
 
 def test_closed_only_member(spark, stored):
-    closed = stored.withColumn("active", F.when(F.col("number") == 31568, 0).otherwise(F.col("active")))
-    batch = spark.createDataFrame([(31568, "Will", "Sharp Way 7")], "number long, name string, address string")
+    closed = stored.withColumn("active", F.when(F.col("number") == 4003, 0).otherwise(F.col("active")))
+    batch = spark.createDataFrame([(4003, "Will", "Sharp Way 7")], "number long, name string, address string")
     assert tuples(upsert(closed, batch)) == tuples(closed)
     again = upsert(closed, batch, reactivate=True)
-    assert tuples(again.filter("key = 5"), "number", "start", "active") == [(31568, D, 1)]
+    assert tuples(again.filter("key = 5"), "number", "start", "active") == [(4003, D, 1)]
 
 
 def test_latest_load_wins(spark, stored):
     loads = spark.createDataFrame(
-        [(289374, "Ann", "old", "2020-01-01"), (289374, "Ann", "new", "2020-02-01"), (289374, "Ann", "older", "2019-01-01")],
+        [(4001, "Ann", "old", "2020-01-01"), (4001, "Ann", "new", "2020-02-01"), (4001, "Ann", "older", "2019-01-01")],
         "number long, name string, address string, load_date string",
     )
     batch = latest_per_key(loads, ["number"], "load_date").drop("load_date")
