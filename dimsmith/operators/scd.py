@@ -87,45 +87,60 @@ def scd2_upsert(
     the same batch again changes nothing.
     """
     c = columns
-    cutoff = F.lit(effective_date).cast("date")
     open_now = stored.filter(F.col(c.active) == 1)
     history = stored.filter(~F.col(c.active).eqNullSafe(F.lit(1)))
-
-    arrived = incoming.alias("n").join(
-        open_now.select(key, *tracked).withColumn("__stored", F.lit(True)).alias("o"),
-        F.col(f"n.{key}") == F.col(f"o.{key}"),
-        "left",
-    )
-    is_new = F.col("__stored").isNull()
-    delta = arrived.filter(is_new | any_changed("o", "n", tracked, stored.schema))
-    delta = delta.select("n.*", (~is_new).alias("__changed"))
-    if not reactivate:
-        closed_only = history.select(key).distinct()
-        delta = delta.filter("__changed").unionByName(
-            delta.filter(~F.col("__changed")).join(closed_only, key, "left_anti").select(*delta.columns)
-        )
+    delta = scd2_delta(open_now, history, incoming, key, tracked, reactivate)
     if settle_delta:
         delta = settle(delta)  # read by the key numbering and by both branches below
 
     changed = delta.filter("__changed").select(F.col(key).alias("__key"))
     marked = open_now.join(changed, F.col(key) == F.col("__key"), "left")
-    expires = F.col("__key").isNotNull()
-    kept = marked.select(
-        *[
-            F.when(expires, F.date_sub(cutoff, 1)).otherwise(F.col(x)).alias(x)
-            if x == c.valid_to
-            else F.when(expires, F.lit(0)).otherwise(F.col(x)).cast(stored.schema[x].dataType).alias(x)
-            if x == c.active
-            else F.col(x)
-            for x in stored.columns
-        ]
+    kept = closed_on(marked, effective_date, c, F.col("__key").isNotNull()).select(*stored.columns)
+    opened = opened_on(delta, stored, effective_date, key, c, ranges)
+    return history.unionByName(kept).unionByName(opened)
+
+
+def scd2_delta(
+    open_now: DataFrame,
+    history: DataFrame,
+    incoming: DataFrame,
+    key: str,
+    tracked: Sequence[str],
+    reactivate: bool = False,
+) -> DataFrame:
+    """The incoming rows that start a version, marked by whether they replace an open one (``__changed``)."""
+    known = open_now.select(key, *tracked).withColumn("__stored", F.lit(True))
+    arrived = incoming.alias("n").join(known.alias("o"), F.col(f"n.{key}") == F.col(f"o.{key}"), "left")
+    is_new = F.col("__stored").isNull()
+    delta = arrived.filter(is_new | any_changed("o", "n", tracked, open_now.schema))
+    delta = delta.select("n.*", (~is_new).alias("__changed"))
+    if reactivate:
+        return delta
+    closed_only = history.select(key).distinct()
+    first_seen = delta.filter(~F.col("__changed")).join(closed_only, key, "left_anti")
+    return delta.filter("__changed").unionByName(first_seen.select(*delta.columns))
+
+
+def closed_on(rows: DataFrame, effective_date: str, c: VersionColumns, which: Column) -> DataFrame:
+    """``rows`` with those that satisfy ``which`` closed the day before ``effective_date``."""
+    last_day = F.date_sub(F.lit(effective_date).cast("date"), 1)
+    flag = rows.schema[c.active].dataType
+    return rows.withColumns(
+        {
+            c.valid_to: F.when(which, last_day).otherwise(F.col(c.valid_to)),
+            c.active: F.when(which, F.lit(0).cast(flag)).otherwise(F.col(c.active)),
+        }
     )
 
-    opened = delta.drop("__changed").withColumn(c.valid_from, cutoff)
-    opened = opened.withColumn(c.valid_to, F.lit(OPEN_END).cast("date")).withColumn(c.active, F.lit(1))
-    opened = continue_keys(opened, stored, c.surrogate, [key], ranges=ranges, size_of=delta)
-    opened = opened.select(*[F.col(x).cast(stored.schema[x].dataType).alias(x) for x in stored.columns])
-    return history.unionByName(kept).unionByName(opened)
+
+def opened_on(
+    delta: DataFrame, stored: DataFrame, effective_date: str, key: str, c: VersionColumns, ranges: int | None = None
+) -> DataFrame:
+    """A version open from ``effective_date`` for every row of ``delta``, keyed after the keys of ``stored``."""
+    rows = delta.drop("__changed").withColumn(c.valid_from, F.lit(effective_date).cast("date"))
+    rows = rows.withColumn(c.valid_to, F.lit(OPEN_END).cast("date")).withColumn(c.active, F.lit(1))
+    rows = continue_keys(rows, stored, c.surrogate, [key], ranges=ranges, size_of=delta)
+    return rows.select(*[F.col(x).cast(stored.schema[x].dataType).alias(x) for x in stored.columns])
 
 
 def scd3_upsert(

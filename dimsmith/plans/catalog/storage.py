@@ -14,6 +14,7 @@ from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.standin import MONEY, tier_snapshot
 from dimsmith.session import fresh_path
 from dimsmith.sources import layout, readers, sinks
+from dimsmith.sources.history import HistoryTable
 from dimsmith.sources.readers import Tables
 from dimsmith.streaming import flows
 
@@ -376,16 +377,28 @@ def stream_scd2(t: Tables):
     start = scd2_initial(first.drop("as_of"), "customer_id", columns, F.lit(YEARS[0]), size_of=t.customer)
     for snapshot in later:
         sinks.append(snapshot, inbox)
-    table = sinks.VersionedTable(t.spark, fresh_path(t.spark, "tier-dimension"))
+    table = HistoryTable(t.spark, fresh_path(t.spark, "tier-dimension"), columns)
     arrivals = flows.arriving(t.spark, inbox, first.schema)
     flows.run(
         lambda: flows.maintain_scd2(
-            arrivals, table, fresh_path(t.spark, "progress"), "customer_id", ["tier"], columns, "as_of", start
+            arrivals, table, fresh_path(t.spark, "progress"), "customer_id", ["tier"], "as_of", start
         )
     )
     return table.read().drop("name", "segment")
 
 
+@query("history_table", tiers_over_time_sql())
+def history_table(t: Tables):
+    """The same snapshots applied in two versions; only the open rows are ever written again."""
+    columns = VersionColumns("customer_dim_id")
+    first, *later = [(y, tier_snapshot(t, y)) for y in YEARS]
+    table = HistoryTable(t.spark, fresh_path(t.spark, "tier-history"), columns)
+    table.start(scd2_initial(first[1], "customer_id", columns, F.lit(first[0]), size_of=t.customer))
+    table.apply(later[:1], "customer_id", ["tier"])
+    table.apply(later[1:], "customer_id", ["tier"])
+    return table.read().drop("name", "segment")
+
+
 @query(
     "stream_weekly",
     "SELECT CAST(CAST(date_trunc('week', ts) AS DATE) AS VARCHAR) AS week_start, event_type, count(*) AS num_events FROM events GROUP BY 1, 2",

@@ -14,9 +14,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from dimsmith.operators.dedup import latest_per_key
-from dimsmith.operators.scd import VersionColumns, scd2_upsert
-from dimsmith.session import settle
-from dimsmith.sources.sinks import VersionedTable
+from dimsmith.sources.history import HistoryTable
 
 
 def arriving(
@@ -46,39 +44,33 @@ def stage(arrivals: DataFrame, path: str, checkpoint: str, load_date: str) -> St
 
 def maintain_scd2(
     arrivals: DataFrame,
-    table: VersionedTable,
+    table: HistoryTable,
     checkpoint: str,
     key: str,
     tracked: Sequence[str],
-    columns: VersionColumns,
     effective: str,
-    first_version: DataFrame,
+    first: DataFrame,
 ) -> StreamingQuery:
     """Apply every micro-batch of snapshots to a type 2 dimension.
 
     ``effective`` names the arrival column with the date a row takes effect; a batch may hold
-    several dates, which are applied in order.  The result of batch N is version N + 2 of
-    ``table`` (version 1 is ``first_version``), so a batch that is run again after a failure
-    either finds its version published or publishes the same rows.
+    several dates, which are applied in order.  Version 1 of ``table`` is ``first``, batch N
+    becomes version N + 2, so a batch that is run again after a failure either finds its version
+    published or publishes the same rows.
     """
-    if table.current() is None:
-        table.write(first_version, version=1)
+    if not table.versions():
+        table.start(first)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
-        version = batch_id + 2
-        if version in table.versions():
+        if batch_id + 2 in table.versions():
             return
-        state = table.read(version - 1)
-        # Few values: one per snapshot date in the batch.
+        # One value per snapshot date in the batch.
         days = batch.select(F.col(effective).cast("string").alias("d")).distinct().orderBy("d")
-        dates = [row.d for row in days.collect()]
-        for place, date in enumerate(dates):
-            if place:
-                state = settle(state)  # the next upsert reads it several times
-            snapshot = batch.filter(F.col(effective) == F.lit(date).cast("date"))
-            members = latest_per_key(snapshot, [key], effective)
-            state = scd2_upsert(state, members, key, tracked, date, columns)
-        table.write(state, version=version)
+        snapshots = []
+        for date in [row.d for row in days.collect()]:
+            rows = batch.filter(F.col(effective) == F.lit(date).cast("date"))
+            snapshots.append((date, latest_per_key(rows, [key], effective).drop(effective)))
+        table.apply(snapshots, key, tracked, version=batch_id + 2)
 
     return arrivals.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
