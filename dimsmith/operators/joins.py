@@ -55,10 +55,20 @@ def salted_join(
     return joined.drop(SALT)
 
 
+def splittable(grouped: DataFrame) -> DataFrame:
+    """Prepare a frame grouped by a key for a join on that key with rows in which the key may be hot.
+
+    Adaptive execution splits a hot partition only when both join inputs come straight from a
+    shuffle.  A grouped side would be joined as it lies, without one; spreading it evenly first
+    (it is narrow, one row per key) makes the join shuffle it again and keeps splitting possible.
+    """
+    return grouped.hint("rebalance")
+
+
 def unique_lookup(dim: DataFrame, natural_key: Sequence[str], surrogate: str, active: Column | None = None) -> DataFrame:
     """Natural key to surrogate key, one row per natural key (the lowest surrogate when several match)."""
     rows = dim if active is None else dim.filter(active)
-    return rows.groupBy(*natural_key).agg(F.min(surrogate).alias(surrogate))
+    return splittable(rows.groupBy(*natural_key).agg(F.min(surrogate).alias(surrogate)))
 
 
 def lookup(
@@ -167,7 +177,7 @@ def not_in(df: DataFrame, column: str, values: DataFrame, value: str) -> DataFra
     """
     facts = values.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(value).isNull()).alias("nulls"))
     num_values, num_nulls = facts.select("n").scalar(), facts.select("nulls").scalar()
-    listed = values.select(F.col(value).alias("__value")).filter("__value is not null").distinct()
+    listed = splittable(values.select(F.col(value).alias("__value")).filter("__value is not null").distinct())
     missing = df.join(listed, F.col(column) == F.col("__value"), "left_anti")
     return missing.filter((num_values == 0) | ((num_nulls == 0) & F.col(column).isNotNull()))
 

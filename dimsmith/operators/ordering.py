@@ -218,8 +218,8 @@ def _add_carried(
     # At most two rows per cut, so broadcasting is bounded by MAX_RANGES.
     joined = _null_safe_join(local, F.broadcast(carried), [RANGE, *partition_by], "left")
     for name in measures:
-        earlier = F.col(f"{CARRY}_{name}")
-        joined = joined.withColumn(name, F.when(earlier.isNull(), F.col(name)).otherwise(F.col(name) + earlier))
+        here, earlier = F.col(name), F.col(f"{CARRY}_{name}")
+        joined = joined.withColumn(name, F.coalesce(here + earlier, here, earlier))
     return joined
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith import functions as fn
-from dimsmith.operators.joins import lookup
+from dimsmith.operators.joins import lookup, splittable
 
 
 @dataclass(frozen=True)
@@ -176,9 +176,8 @@ def regrain(fact: DataFrame, by: list[Column], additive: list[str]) -> DataFrame
 def standard_price_totals(items: DataFrame, rental: DataFrame, payment: DataFrame, price: int = 30) -> DataFrame:
     """Rentals with several items at one price: items per rental and payment date, and their total."""
     counted = items.groupBy("rental_id").agg(F.count(F.lit(1)).alias("__items"))
-    joined = counted.join(rental.select("rental_id", "return_date"), "rental_id").join(
-        payment.select("rental_id", "payment_date"), "rental_id"
-    )
+    returned = counted.join(rental.select("rental_id", "return_date"), "rental_id")
+    joined = payment.select("rental_id", "payment_date").join(splittable(returned), "rental_id")
     return joined.groupBy("rental_id", "return_date", "payment_date").agg(
         F.sum("__items").alias("rentals"), (F.sum("__items") * price).alias("total")
     )

@@ -80,13 +80,16 @@ def maintain_scd2(
 def weekly_counts(events: DataFrame, event_time: str, by: Sequence[str], late: str = "7 days") -> DataFrame:
     """Events per Monday-to-Sunday week on a stream; rows later than ``late`` may be dropped.
 
-    Weeks are windows of seven days shifted by four, as the epoch fell on a Thursday.  The event
-    time must be a wall-clock timestamp in UTC.
+    Weeks are windows of seven days shifted by four, as the epoch fell on a Thursday.  Event times
+    are wall-clock timestamps without a zone; a watermark needs instants, so they are counted from
+    the epoch as if in UTC, whatever zone the session is in.
     """
-    timed = events.withColumn("__at", F.col(event_time).cast("timestamp")).withWatermark("__at", late)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(event_time))
+    timed = events.withColumn("__at", F.timestamp_micros(micros)).withWatermark("__at", late)
     week = F.window("__at", "7 days", startTime="4 days")
     counts = timed.groupBy(week.alias("w"), *by).agg(F.count(F.lit(1)).alias("num_events"))
-    return counts.select(F.to_date("w.start").alias("week_start"), *by, "num_events")
+    epoch_day = F.floor(F.unix_seconds("w.start") / 86_400).cast("int")
+    return counts.select(F.date_from_unix_date(epoch_day).alias("week_start"), *by, "num_events")
 
 
 def write_weekly(counts: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:

@@ -53,6 +53,32 @@ def test_hot_keys(facts):
     assert tuples(joins.hot_keys(facts, ["k"], 0.2)) == [(1,)]
 
 
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """The plain lookup join needs no hint: a hot partition is split while the query runs."""
+    settings = {
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        rows = spark.range(0, 60_000, 1, 8).select(F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id")).alias("k"), "id")
+        dim = spark.range(60_000).select(F.col("id").alias("natural"), (F.col("id") + 1).alias("dim_id"))
+        found = joins.lookup(rows, dim, {"k": "natural"}, "dim_id")
+        found.write.format("noop").mode("overwrite").save()
+        kept = found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(kept) == 60_000
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_lookup(spark, facts):
     dim = spark.createDataFrame(
         [(5, 1, 1), (6, 1, 1), (7, 2, 0), (8, 3, 1)], "dim_id long, natural int, dim_active int"

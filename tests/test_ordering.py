@@ -51,8 +51,9 @@ def test_plain_path_is_the_spark_window(rows):
     assert tuples(got, "id", "n") == tuples(expected, "id", "n")
 
 
-def test_running_sum_of_nulls(spark):
-    df = spark.createDataFrame([(i, None if i < 6 else i) for i in range(12)], "id int, v int")
+@pytest.mark.parametrize("is_null", [lambda i: i < 6, lambda i: i > 5, lambda i: i % 5 < 3])
+def test_running_sum_of_nulls(spark, is_null):
+    df = spark.createDataFrame([(i, None if is_null(i) else i) for i in range(24)], "id int, v int")
     measures = {"total": ordering.running_sum("v")}
     assert tuples(ordering.ordered(df, ["id"], measures, ranges=4)) == tuples(ordering.ordered(df, ["id"], measures, ranges=1))
 
