@@ -149,16 +149,20 @@ def product_with_list(df: DataFrame, values: DataFrame, max_values: int = 10_000
     return exploded.select(*df.columns, *[F.col(f"__item.{c}").alias(c) for c in values.columns])
 
 
-def join_sizes(left: DataFrame, right: DataFrame, on: Sequence[str], row_key: str) -> DataFrame:
+def join_sizes(
+    left: DataFrame, right: DataFrame, on: Sequence[str], row_key: str, right_rows: str | None = None
+) -> DataFrame:
     """What an inner join on ``on`` would produce, without producing it.
 
     ``joined_rows`` is the row count, ``distinct_left`` the number of distinct ``row_key`` values
     of ``left`` that survive, ``max_fan_out`` the most rows one left row would turn into.  Both
     sides are counted per key first, so a hot key on both sides costs two numbers, not their
-    product.
+    product.  ``right_rows`` names a column of ``right`` that says how many rows a row stands
+    for, when ``right`` is counted already.
     """
     on = list(on)
-    right_counts = right.groupBy(*on).agg(F.count(F.lit(1)).alias("__right"))
+    rows = F.count(F.lit(1)) if right_rows is None else F.sum(right_rows)
+    right_counts = right.groupBy(*on).agg(rows.alias("__right"))
     left_counts = left.groupBy(*dict.fromkeys([*on, row_key])).agg(F.count(F.lit(1)).alias("__left"))
     both = left_counts.join(right_counts, on, "inner")
     return both.agg(

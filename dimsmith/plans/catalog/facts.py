@@ -183,7 +183,12 @@ SELECT p_type, CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * CAST(l_discount
 FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""",
 )
 def ratio_recomputed(t: Tables):
-    """Average discount per part type: a ratio of sums, never an average of ratios."""
-    lines = t.lineitem.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    """Average discount per part type: a ratio of sums, never an average of ratios.
+
+    Both parts of the ratio are additive, so they are summed per part before the join.
+    """
     gross = F.col("l_extendedprice").cast("decimal(12,2)")
-    return measures.ratio(lines, ["p_type"], gross * F.col("l_discount").cast("decimal(4,2)"), gross, "discount_rate")
+    discount = gross * F.col("l_discount").cast("decimal(4,2)")
+    per_part = t.lineitem.groupBy("l_partkey").agg(F.sum(discount).alias("num"), F.sum(gross).alias("den"))
+    typed = per_part.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
+    return measures.ratio(typed, ["p_type"], F.col("num"), F.col("den"), "discount_rate")

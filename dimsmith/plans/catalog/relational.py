@@ -224,10 +224,11 @@ SELECT 'customer_only', CAST(sum(f) AS BIGINT), count(*), max(f) FROM loose""",
 def join_composite_fanout(t: Tables):
     """What the full key and a wrong partial key would join, from counts per key."""
     orders = t.orders.select("o_orderkey", "o_custkey")
-    lines = t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")).join(orders, "o_orderkey")
+    counted = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(F.lit(1)).alias("num_lines"))
+    lines = counted.join(orders, "o_orderkey")
     keys = {"order_and_customer": ["o_orderkey", "o_custkey"], "customer_only": ["o_custkey"]}
     sizes = [
-        joins.join_sizes(orders, lines, on, "o_orderkey").select(F.lit(name).alias("join_key"), "*")
+        joins.join_sizes(orders, lines, on, "o_orderkey", "num_lines").select(F.lit(name).alias("join_key"), "*")
         for name, on in keys.items()
     ]
     return joins.union_all(*sizes)
