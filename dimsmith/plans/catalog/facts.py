@@ -59,6 +59,30 @@ def fact_transaction(t: Tables):
     return facts.transaction_fact(lines, dims)
 
 
+@query(
+    "fact_rejects",
+    """
+SELECT l_orderkey AS rental_id, l_partkey AS film_id, l_suppkey AS store_id, 'customer' AS missing_in
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE c_mktsegment = 'BUILDING'
+UNION ALL
+SELECT l_orderkey, l_partkey, l_suppkey, 'film' FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type = 'PROMO'""",
+)
+def fact_rejects(t: Tables):
+    """Lines whose customer or film has no active version, with the dimension that lacks them."""
+
+    def members(table, natural: str, name: str, inactive):
+        return table.select(F.col(natural).alias(f"{name}_id"), F.when(inactive, 0).otherwise(1).alias("dim_active"))
+
+    dims = facts.Dimensions(
+        customer=members(t.customer, "c_custkey", "customer", F.col("c_mktsegment") == "BUILDING"),
+        staff=members(t.supplier, "s_suppkey", "staff", F.lit(False)),
+        film=members(t.part, "p_partkey", "film", F.col("p_type") == "PROMO"),
+        store=members(t.supplier, "s_suppkey", "store", F.lit(False)),
+    )
+    rejects = facts.rejected_lines(standin.rental_lines(t), dims)
+    return rejects.select("rental_id", "film_id", "store_id", "missing_in")
+
+
 WEEK = "CAST(isoyear(rental_date) * 100 + week(rental_date) AS INTEGER)"
 
 

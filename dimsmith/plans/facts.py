@@ -9,14 +9,14 @@ tables; any other source only has to provide the same columns.
 from __future__ import annotations
 
 import datetime
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith import functions as fn
-from dimsmith.operators.joins import lookup, splittable
+from dimsmith.operators.joins import lookup, lookup_rejects, splittable, union_all
 
 
 @dataclass(frozen=True)
@@ -38,20 +38,42 @@ def resolve(
     dims: Dimensions,
     names: Sequence[str] = ("customer", "staff", "film", "store"),
     hot_key_salts: int | None = None,
+    match: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
     """Natural keys to surrogate keys of the active versions; a row missing from any dimension is dropped.
 
     Surrogate keys that ``rows`` already carries are not looked up again.  ``hot_key_salts``
     spreads rows of hot members (see ``lookup``) where a dimension is too large to broadcast.
+    ``match`` replaces the matched columns of a dimension, say to compare names as well as the id:
+    ``{"customer": {"customer_id": "customer_id", "customer_email": "email"}}``.
     """
     for name in names:
         if f"{name}_dim_id" not in rows.columns:
             dim = getattr(dims, name)
-            key = {f"{name}_id": f"{name}_id"}
-            rows = lookup(rows, dim, key, f"{name}_dim_id", is_active(dim), hot_key_salts=hot_key_salts)
+            on = _matched(name, match)
+            rows = lookup(rows, dim, on, f"{name}_dim_id", is_active(dim), hot_key_salts=hot_key_salts)
     return rows
 
 
+def _matched(name: str, match: Mapping[str, Mapping[str, str]] | None) -> Mapping[str, str]:
+    return (match or {}).get(name, {f"{name}_id": f"{name}_id"})
+
+
+def rejected_lines(
+    lines: DataFrame,
+    dims: Dimensions,
+    names: Sequence[str] = ("customer", "staff", "film", "store"),
+    match: Mapping[str, Mapping[str, str]] | None = None,
+) -> DataFrame:
+    """The lines :func:`resolve` drops, once per dimension that does not know them (``missing_in``)."""
+    frames = []
+    for name in names:
+        dim = getattr(dims, name)
+        missed = lookup_rejects(lines, dim, _matched(name, match), is_active(dim))
+        frames.append(missed.withColumn("missing_in", F.lit(name)))
+    return union_all(*frames)
+
+
 def rental_lines(
     rental: DataFrame, payment: DataFrame, inventory: DataFrame, staff: DataFrame, dims: Dimensions | None = None
 ) -> DataFrame:

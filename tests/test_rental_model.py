@@ -133,6 +133,24 @@ def test_transaction_fact(model, early):
     ]
 
 
+def test_rejected_lines(model):
+    dims = star(model)
+    without = facts.Dimensions(dims.customer.filter("customer_id = 1"), dims.staff, dims.film.withColumn("dim_active", F.lit(0)), dims.store)
+    rejects = facts.rejected_lines(lines(model), without)
+    assert tuples(rejects.groupBy("missing_in").count()) == [("customer", 1), ("film", 4)]
+    assert facts.transaction_fact(lines(model), without).isEmpty()
+
+
+def test_match_on_descriptive_columns(model):
+    dims = star(model)
+    named = lines(model).join(model["customer"].select("customer_id", F.col("email").alias("customer_email")), "customer_id")
+    match = {"customer": {"customer_id": "customer_id", "customer_email": "email"}}
+    found = facts.resolve(named, dims, ("customer",), match=match)
+    # Customer 2 has no address to compare, so their line is rejected.
+    assert tuples(found, "payment_id", "customer_dim_id") == [(10, 1), (11, 1), (12, 1)]
+    assert tuples(facts.rejected_lines(named, dims, ("customer",), match), "payment_id") == [(13,)]
+
+
 def test_periodic_fact_has_one_row_per_week_over_a_month_end(model):
     fact = facts.periodic_fact(lines(model), star(model), 200521, 200540)
     assert tuples(fact) == [

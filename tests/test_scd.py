@@ -1,12 +1,15 @@
 """The worked type 2 example, its further cases, and types 1 and 3."""
 
 import datetime
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from dimsmith.operators import scd
 from dimsmith.operators.dedup import latest_per_key
+from dimsmith.session import fresh_path, settle
+from dimsmith.sources.history import HistoryTable
 from tests.conftest import tuples
 
 COLUMNS = scd.VersionColumns("key", "start", "end", "active")
@@ -98,6 +101,36 @@ def test_latest_load_wins(spark, stored):
     assert [r.address for r in upsert(stored, batch).filter("key = 5").collect()] == ["new"]
 
 
+@pytest.mark.parametrize("seed", [1, 2])
+def test_random_batches_against_a_plain_model(spark, seed):
+    """Five batches over forty members, applied row by row in Python as well."""
+    dice = random.Random(seed)
+    table = HistoryTable(spark, fresh_path(spark, "random"), COLUMNS)
+    empty = spark.createDataFrame([], "key long, number long, name string, address string, start date, end date, active int")
+    table.start(empty)
+    model, by_upsert = [], empty
+    for month in range(1, 6):
+        date = datetime.date(2020, month, 1)
+        arriving = {n: (dice.choice("xy"), dice.choice(["p", "q", "", None])) for n in dice.sample(range(40), 25)}
+        batch = spark.createDataFrame([(n, *v) for n, v in arriving.items()], "number long, name string, address string")
+        next_key = len(model) + 1
+        for number in sorted(arriving):
+            name, address = arriving[number]
+            current = next((v for v in model if v[1] == number and v[6] == 1), None)
+            if current and (current[2], current[3] or "") == (name, address or ""):
+                continue
+            if current:
+                current[5], current[6] = date - datetime.timedelta(days=1), 0
+            model.append([next_key, number, name, address, date, OPEN, 1])
+            next_key += 1
+        table.apply([(date.isoformat(), batch)], "number", ["name", "address"])
+        by_upsert = settle(upsert(by_upsert, batch, date.isoformat(), ranges=1 if month % 2 else 3))
+    expected = sorted((tuple(v) for v in model), key=repr)
+    assert tuples(table.read()) == expected
+    assert tuples(by_upsert) == expected
+    assert set(violations(table.read()).values()) == {0}
+
+
 def test_violations_are_found(spark):
     rows = [
         (1, 7, "a", "x", day("2000-01-01"), OPEN, 1),
