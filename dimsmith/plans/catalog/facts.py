@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from dimsmith import functions as fn
@@ -70,15 +72,10 @@ SELECT l_orderkey, l_partkey, l_suppkey, 'film' FROM lineitem JOIN part ON l_par
 def fact_rejects(t: Tables):
     """Lines whose customer or film has no active version, with the dimension that lacks them."""
 
-    def members(table, natural: str, name: str, inactive):
-        return table.select(F.col(natural).alias(f"{name}_id"), F.when(inactive, 0).otherwise(1).alias("dim_active"))
-
-    dims = facts.Dimensions(
-        customer=members(t.customer, "c_custkey", "customer", F.col("c_mktsegment") == "BUILDING"),
-        staff=members(t.supplier, "s_suppkey", "staff", F.lit(False)),
-        film=members(t.part, "p_partkey", "film", F.col("p_type") == "PROMO"),
-        store=members(t.supplier, "s_suppkey", "store", F.lit(False)),
-    )
+    dims = star(t)
+    building = t.customer.select(F.col("c_custkey").alias("customer_id"), (F.col("c_mktsegment") != "BUILDING").alias("dim_active"))
+    promo = t.part.select(F.col("p_partkey").alias("film_id"), (F.col("p_type") != "PROMO").alias("dim_active"))
+    dims = replace(dims, customer=dims.customer.join(building, "customer_id"), film=dims.film.join(promo, "film_id"))
     rejects = facts.rejected_lines(standin.rental_lines(t), dims)
     return rejects.select("rental_id", "film_id", "store_id", "missing_in")
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith import functions as fn
-from dimsmith.operators.joins import lookup, lookup_rejects, splittable, union_all
+from dimsmith.operators.joins import lookup, splittable
 
 
 @dataclass(frozen=True)
@@ -65,13 +65,16 @@ def rejected_lines(
     names: Sequence[str] = ("customer", "staff", "film", "store"),
     match: Mapping[str, Mapping[str, str]] | None = None,
 ) -> DataFrame:
-    """The lines :func:`resolve` drops, once per dimension that does not know them (``missing_in``)."""
-    frames = []
+    """The lines :func:`resolve` drops, once per dimension that does not know them (``missing_in``).
+
+    The lines are computed once and carried through all lookups.
+    """
+    rows = lines
     for name in names:
         dim = getattr(dims, name)
-        missed = lookup_rejects(lines, dim, _matched(name, match), is_active(dim))
-        frames.append(missed.withColumn("missing_in", F.lit(name)))
-    return union_all(*frames)
+        rows = lookup(rows, dim, _matched(name, match), f"{name}_dim_id", is_active(dim), keep_misses=True)
+    missing = F.array_compact(F.array(*[F.when(F.col(f"{n}_dim_id").isNull(), F.lit(n)) for n in names]))
+    return rows.select(*lines.columns, F.explode(missing).alias("missing_in"))
 
 
 def rental_lines(
