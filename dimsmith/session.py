@@ -21,8 +21,6 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Split a hot join key even when a later step could have reused the partitioning.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    # The JVM never compiles methods above 8000 bytes; a fused stage that big is better left unfused.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.session.timeZone": "UTC",
 }
 
