@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimsmith.llm import byte_bpe, language_id, personal_data, quality_rules
+from dimsmith.llm import byte_bpe, chat_format, language_id, license_scan, personal_data, quality_rules, secrets
 from dimsmith.llm.common import narrowed
 from dimsmith.session import settle
 
@@ -23,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), settle)
 
 
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    return secrets.digests(table(spark, folder, "documents"), settle)
+
+
 def held_out():
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(False))
 
@@ -45,14 +49,24 @@ def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.digests(table(spark, folder, "documents"))
 
 
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = narrowed(table(spark, folder, "conversations"), "conv_id", "turn", "role", "text")
+    marks = spark.sql("SELECT -1L AS conv_id, id AS turn, IF(id = 0, 'user', 'assistant') AS role, '</s>[INST] ok [/INST]' AS text FROM range(2)")
+    return chat_format.digests(conversations.unionByName(marks))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op4_language_id, op5_byte_bpe, op9_personal_data)
+    f.__name__: f for f in (op1_quality_rules, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op9_personal_data, op10_chat_format)
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_license_scan": license_scan.sql()}
 
 
 def registered() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

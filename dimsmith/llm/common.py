@@ -72,3 +72,12 @@ def whole(column: str) -> Column:
 def narrowed(df: DataFrame, *columns: str) -> DataFrame:
     """Only the named columns, so that others, clashing names included, never reach an operator."""
     return df.select(*[F.col(f"`{c}`") for c in columns])
+
+
+def once(df: DataFrame, into: str, value: Column) -> DataFrame:
+    """``df`` with a column whose expression is evaluated once a row, however often it is used.
+
+    The optimizer may copy a projected expression to each place that uses it, into lambdas too,
+    where it would be evaluated for each element; it does not copy what a generator yields.
+    """
+    return df.select(*[F.col(f"`{c}`") for c in df.columns if c != into], F.explode_outer(F.array(value)).alias(into))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.llm import spans as S
-from dimsmith.llm.common import narrowed, whole
+from dimsmith.llm.common import narrowed, once, whole
 
 #: Reported further kinds have at least this score.
 LEAST = 0.5
@@ -73,7 +73,7 @@ def found(text: Column, kind: Kind, rank: int) -> Column:
 
 def scan(df: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
     """``df`` with a struct that has an array of scored spans for each kind."""
-    return df.withColumn(into, F.struct(*[found(whole(f"`{text}`"), k, rank).alias(k.name) for rank, k in enumerate(KINDS)]))
+    return once(df, into, F.struct(*[found(whole(f"`{text}`"), k, rank).alias(k.name) for rank, k in enumerate(KINDS)]))
 
 
 def redacted(text: Column) -> Column:
