@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimsmith.llm import byte_bpe, chat_format, language_id, license_scan, personal_data, quality_rules, secrets
+from dimsmith.llm import byte_bpe, chat_format, language_id, license_scan, minhash_dedup, personal_data, quality_rules, secrets
 from dimsmith.llm.common import narrowed
 from dimsmith.session import settle
 
@@ -53,6 +53,10 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
 
+def op8_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash_dedup.near_duplicates(table(spark, folder, "documents"), settle)
+
+
 def op9_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.digests(table(spark, folder, "documents"))
 
@@ -64,7 +68,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op9_personal_data, op10_chat_format)
+    f.__name__: f for f in (op1_quality_rules, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op8_minhash_dedup, op9_personal_data, op10_chat_format)
 }
 ORACLES: dict[str, str] = {"op6_license_scan": license_scan.sql()}
 
