@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimsmith.llm import byte_bpe, chat_format, language_id, license_scan, minhash_dedup, personal_data, quality_rules, secrets
+from dimsmith.llm import byte_bpe, chat_format, decontaminate, language_id, license_scan, minhash_dedup, personal_data, quality_rules, secrets
 from dimsmith.llm.common import narrowed
 from dimsmith.session import settle
 
@@ -23,6 +23,10 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"), settle)
 
 
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.matches(table(spark, folder, "documents"), table(spark, folder, "benchmark"), settle).drop("text_hash")
+
+
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     return secrets.digests(table(spark, folder, "documents"), settle)
 
@@ -68,7 +72,7 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op8_minhash_dedup, op9_personal_data, op10_chat_format)
+    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op8_minhash_dedup, op9_personal_data, op10_chat_format)
 }
 ORACLES: dict[str, str] = {"op6_license_scan": license_scan.sql()}
 
