@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimsmith.llm import byte_bpe, chat_format, decontaminate, language_id, license_scan, minhash_dedup, personal_data, quality_rules, secrets
+import corpus_pipeline
+from dimsmith.llm import byte_bpe, chat_format, decontaminate, language_id, license_scan, minhash_dedup, personal_data, quality_rules, repeats, secrets
 from dimsmith.llm.common import narrowed
 from dimsmith.session import settle
 
@@ -57,6 +58,11 @@ def op6_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.scan(table(spark, folder, "documents"))
 
 
+def op7_repeats(spark: SparkSession, folder: str) -> DataFrame:
+    rows = repeats.without_repeats(table(spark, folder, "documents"), settle)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op8_minhash_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return minhash_dedup.near_duplicates(table(spark, folder, "documents"), settle)
 
@@ -71,8 +77,12 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     return chat_format.digests(conversations.unionByName(marks))
 
 
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    return corpus_pipeline.run(spark, folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op8_minhash_dedup, op9_personal_data, op10_chat_format)
+    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op7_repeats, op8_minhash_dedup, op9_personal_data, op10_chat_format, pipeline)
 }
 ORACLES: dict[str, str] = {"op6_license_scan": license_scan.sql()}
 

@@ -81,3 +81,10 @@ def once(df: DataFrame, into: str, value: Column) -> DataFrame:
     where it would be evaluated for each element; it does not copy what a generator yields.
     """
     return df.select(*[F.col(f"`{c}`") for c in df.columns if c != into], F.explode_outer(F.array(value)).alias(into))
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in (c.lower() for c in df.columns):
+        name += "_"
+    return name
