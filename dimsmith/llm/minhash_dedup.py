@@ -1,15 +1,18 @@
 """Near-duplicates by MinHash: an inverted join of signature coordinates, confirmed on full sets.
 
 Documents whose shingle sets are equal form a class; a class is compared once, whatever its size.
-A class's signature has ``COORDINATES * WIDTH`` minima. ``WIDTH`` minima together are a coordinate
-value, and each class is posted under its ``COORDINATES`` values. Two classes of similarity s share
-a value with probability 1 - (1 - s^5)^32: at 0.8 all but 3 in a million do.
+A class's signature has ``MINIMA`` minima. Each of three permutations cuts them into coordinates of
+``WIDTH`` minima, and each class is posted under its 60 coordinate values. Two classes of similarity
+s share a value with probability of about 1 - (1 - s^8)^60: at 0.8 all but 2 in 100,000 do, at 0.85
+all but one in 100 million; of pairs that share only a passage (0.3) 4 in 1,000 do.
 
 Lists are joined in two steps, so that a list of thousands of copies never yields all its pairs:
 
-1. each member is paired with the list's first member; what is confirmed is contracted to components
+1. each member is paired with the list's head, the member that meets most others in all its lists;
+   what is confirmed is contracted to components
 2. only lists that still hold several components are joined with themselves, and only members of
-   different components are paired
+   different components are paired, unless the shingles that one of them shares with no other
+   component are too many for a link: a crowd of copies just below the threshold gives few pairs
 
 Every pair that shares a value is thus either in one component already or compared. Of a pair that
 shares a value the remaining minima are counted only then; pairs with fewer than ``MATCHES`` equal
@@ -35,14 +38,15 @@ from pyspark.sql import functions as F
 from dimsmith.llm.common import WordHashes, narrowed, shingle_hashes
 from dimsmith.llm.components import components
 
-COORDINATES, WIDTH = 32, 5
+MINIMA, WIDTH, PERMUTATIONS = 160, 8, 3
 #: Of 160 minima, 128 agree on average at a similarity of 0.8, with a deviation of 5.
 MATCHES = 104
 PERCENT = 80
 _random = np.random.default_rng(20)
-FACTORS = _random.integers(0, 1 << 31, COORDINATES * WIDTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-MASKS = _random.integers(0, 1 << 32, COORDINATES * WIDTH, dtype=np.uint32)
+FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+MASKS = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
 MULTIPLIERS = _random.integers(0, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+PLACES = np.concatenate([_random.permutation(MINIMA).reshape(-1, WIDTH) for _ in range(PERMUTATIONS)])
 
 Settle = Callable[[DataFrame], DataFrame]
 
@@ -67,8 +71,8 @@ def minima(shingles: np.ndarray) -> np.ndarray:
 def coordinate_values(least: np.ndarray) -> np.ndarray:
     """A hash of each coordinate's minima and its number."""
     with np.errstate(over="ignore"):
-        mixed = (least.reshape(COORDINATES, WIDTH).astype(np.uint64) * MULTIPLIERS).sum(axis=1, dtype=np.uint64)
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.arange(COORDINATES, dtype=np.uint64)
+        mixed = (least[PLACES].astype(np.uint64) * MULTIPLIERS).sum(axis=1, dtype=np.uint64)
+        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.arange(len(PLACES), dtype=np.uint64)
     return mixed.view(np.int64)
 
 
@@ -145,14 +149,36 @@ def alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, pe
     return full_pairs.mapInPandas(confirm, "a binary, b binary")
 
 
+def alone_in(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
+    """(member, alone): how many shingles of each class (cid, root) no class of another component has."""
+
+    def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known, unpacker = WordHashes(), zstandard.ZstdDecompressor()
+        for batch in batches:
+            for cid, root, raw in zip(batch["cid"], batch["root"], batch["packed"]):
+                own = shingle_set(unpacker.decompress(raw).decode(), width, known)
+                yield pd.DataFrame({"cid": [cid] * len(own), "root": [root] * len(own), "shingle": own.view(np.int64)})
+
+    named = classes.select(F.col("cid").alias("its"), "root")
+    each = texts.join(named, F.col("cid") == F.col("its")).select("cid", "root", "packed").mapInPandas(shingles, "cid binary, root binary, shingle long")
+    spread = each.groupBy(F.col("shingle").alias("its")).agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    each = each.join(spread, F.col("shingle") == F.col("its"))
+    return each.groupBy(F.col("cid").alias("member")).agg(F.count_if(F.col("low") == F.col("high")).alias("alone"))
+
+
 def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document. ``settle`` writes intermediate tables once."""
     documents = narrowed(documents, "doc_id", "text")
     signed = settle(signatures(documents, width))
     classes = signed.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("coordinates").alias("coordinates"), F.first("minima").alias("minima"))
     posted = classes.select("cid", F.explode("coordinates").alias("value"))
-    lists = posted.groupBy("value").agg(F.min("cid").alias("head"), F.count("*").alias("members")).where(F.col("members") > 1)
-    lists = settle(posted.join(lists.select(F.col("value").alias("its"), "head"), F.col("value") == F.col("its")).select("value", "cid", "head"))
+    counts = posted.groupBy(F.col("value").alias("its")).agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    lists = settle(posted.join(counts, F.col("value") == F.col("its")).select("value", "cid", "size"))
+    # a text that others were copied from meets most of them: such members head their lists
+    weight = lists.groupBy(F.col("cid").alias("member")).agg(F.sum("size").alias("weight"))
+    lists = lists.join(weight, F.col("cid") == F.col("member")).select("value", "cid", "weight")
+    heads = lists.groupBy(F.col("value").alias("its")).agg(F.max(F.struct("weight", "cid")).alias("head"))
+    lists = settle(lists.join(heads, F.col("value") == F.col("its")).select("value", "cid", F.col("head.cid").alias("head")))
     members = lists.select("cid").distinct().withColumnRenamed("cid", "member")
     own = settle(classes.select("cid", "n_shingles", "minima").join(members, F.col("cid") == F.col("member"), "left_semi"))
     texts = settle(class_texts(documents, width).join(own.select(F.col("cid").alias("member")), F.col("cid") == F.col("member"), "left_semi").groupBy("cid").agg(F.first("packed").alias("packed")))
@@ -164,10 +190,15 @@ def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percen
     placed = lists.join(roots.select(F.col("u").alias("member"), F.col("v").alias("root")), F.col("cid") == F.col("member"), "left").select("value", "cid", "head", F.coalesce("root", "cid").alias("root"))
     mixed = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high")).select(F.col("value").alias("its"))
     open_lists = settle(placed.join(mixed, F.col("value") == F.col("its"), "left_semi"))
-    left = open_lists.select("value", F.col("cid").alias("a"), F.col("root").alias("root_a"))
-    right = open_lists.select(F.col("value").alias("its"), F.col("cid").alias("b"), F.col("root").alias("root_b"), F.col("head").alias("head_b"))
+    bounds = own.select(F.col("cid").alias("member"), "n_shingles").join(alone_in(open_lists.select("cid", "root").distinct(), texts, width), "member")
+    open_lists = settle(open_lists.join(bounds, F.col("cid") == F.col("member")).where(100 * (F.col("n_shingles") - F.col("alone")) >= percent * F.col("n_shingles")).drop("member"))
+    left, right = (open_lists.select(*[F.col(c).alias(f"{c}_{side}") for c in open_lists.columns]) for side in "ab")
+    # shingles that no other component has are in no intersection, and in every union
+    fits = lambda x, y: 100 * (F.col(f"n_shingles_{x}") - F.col(f"alone_{x}")) >= percent * (F.col(f"n_shingles_{y}") + F.col(f"alone_{x}"))
+    apart = (F.col("cid_a") > F.col("cid_b")) & (F.col("root_a") != F.col("root_b"))
     # pairs with the head have been compared
-    rest = left.join(right, (F.col("value") == F.col("its")) & (F.col("a") > F.col("b")) & (F.col("root_a") != F.col("root_b")) & (F.col("b") != F.col("head_b"))).select("a", "b").distinct()
+    new = (F.col("cid_a") != F.col("head_b")) & (F.col("cid_b") != F.col("head_b"))
+    rest = left.join(right, (F.col("value_a") == F.col("value_b")) & apart & new & fits("a", "b") & fits("b", "a")).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
     more = settle(alike(rest, own, texts, width, percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
     if not more.isEmpty():
         roots = components(roots.unionByName(more), settle)
