@@ -144,7 +144,7 @@ def contexts(batch_texts: list[bytes], hot: np.ndarray) -> Iterator[tuple[np.nda
             first = np.repeat(start[common], counts) + np.concatenate([np.arange(c) for c in counts])
             first, at = np.unique(first, return_index=True)
             found.append((np.repeat(which[common], counts)[at], None, first, first + SIZE, True))
-        for w, g, s, e, single in found:
+        for w, g, s, e, single in (f for f in found if len(f[0])):
             own_hash = hashes(sums, s, e) ^ (e - s).astype(np.uint64)
             shift = np.array([p[1] for p in own])[w] - (ends - sizes)[w]
             yield np.array([p[0] for p in own])[w], own_hash if single else g, own_hash, s + shift, e + shift
