@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 NONE = 1 << 62
 #: Pieces remembered by a task, and the longest that is worth remembering.
-REMEMBERED, REMEMBERED_CHARS = 800_000, 64
+REMEMBERED, REMEMBERED_CHARS = 400_000, 64
 #: By vocabulary path and pattern; a worker process serves many tasks.
 _encoders: dict[tuple[str, str], Encoder] = {}
 

@@ -32,7 +32,7 @@ from dimsmith.llm.common import MIX, chunked, mixed, narrowed
 
 ORDER = 4
 #: Training texts of each language, and characters that one chunk of work holds (or one text).
-MAX_ROWS, CHUNK = 1_500, 400_000
+MAX_ROWS, CHUNK = 1_500, 250_000
 SPACE = 32
 UNDETERMINED = "und"
 PREDICTION = "lang_pred string, score double, cross_entropy double, rejected boolean"
@@ -199,7 +199,8 @@ def training_rows(df: DataFrame, id_column: str, text: str, lang: str, usable: C
     rows = df.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("pick"))
     ranked = rows.select("lang", "pick").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("pick"))).where(F.col("place") <= max_rows)
     limits = ranked.groupBy("lang").agg(F.max("pick").alias("most")).withColumnRenamed("lang", "its")
-    return rows.join(limits, (F.col("lang") == F.col("its")) & (F.col("pick") <= F.col("most"))).select("lang", "text", "pick")
+    # a row for each language, as the model has; without texts being moved
+    return rows.join(F.broadcast(limits), (F.col("lang") == F.col("its")) & (F.col("pick") <= F.col("most"))).select("lang", "text", "pick")
 
 
 def fit(df: DataFrame, id_column: str = "doc_id", text: str = "text", lang: str = "lang", usable: Column | None = None, max_rows: int = MAX_ROWS, order: int = ORDER) -> Model | None:
@@ -241,17 +242,18 @@ def predictions(model: Model, texts: list[str | None], spread: float = 8.0, marg
     language's usual cross-entropy (in spreads at its length, plus bits) a text may lie.
     """
     out: list[tuple[str, float, float | None, bool]] = [(UNDETERMINED, 0.0, None, True)] * len(texts)
-    codes = [folded(t) for t in texts]
-    some = [i for i, c in enumerate(codes) if len(c)]
-    for start, end in chunked((len(codes[i]) for i in some), CHUNK):
-        picked = some[start:end]
-        bits = model.cross_entropies([codes[i] for i in picked])
+    for start, end in chunked((len(t or "") for t in texts), CHUNK):
+        codes = [folded(t) for t in texts[start:end]]
+        some = [i for i, c in enumerate(codes) if len(c)]
+        if not some:
+            continue
+        bits = model.cross_entropies([codes[i] for i in some])
         best = bits.argmin(axis=1)
-        for row, i in enumerate(picked):
+        for row, i in enumerate(some):
             n, k = len(codes[i]) - 1, best[row]
             score = 1 / np.exp2((bits[row, k] - bits[row]) * min(n, 20)).sum()
             mean, sd = model.usual[k]
-            out[i] = model.languages[k], float(score), float(bits[row, k]), bool(bits[row, k] > mean + margin + spread * sd / n**0.5)
+            out[start + i] = model.languages[k], float(score), float(bits[row, k]), bool(bits[row, k] > mean + margin + spread * sd / n**0.5)
     return out
 
 
