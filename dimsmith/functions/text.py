@@ -11,8 +11,13 @@ MONEY_TYPE = "decimal(18,2)"
 
 
 def money(text: ColumnLike, symbol: str = "$") -> Column:
-    """``'$3.99'`` as a decimal. Text that is no amount becomes NULL instead of failing the job."""
-    return F.replace(as_column(text), F.lit(symbol), F.lit("")).try_cast(MONEY_TYPE)
+    """``'$3.99'`` or ``'$1,234.50'`` as a decimal. Text that is no amount becomes NULL instead of failing the job.
+
+    Commas count as separators only where they part groups of three digits.
+    """
+    plain = F.replace(as_column(text), F.lit(symbol), F.lit(""))
+    grouped = plain.rlike(r"^\s*[+-]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]*)?\s*$")
+    return F.when(grouped, F.replace(plain, F.lit(","), F.lit(""))).otherwise(plain).try_cast(MONEY_TYPE)
 
 
 def clean_key(value: ColumnLike) -> Column:
@@ -38,6 +43,10 @@ def search_tokens(*texts: ColumnLike) -> Column:
 
 
 def text_array(literal: ColumnLike) -> Column:
-    """A database array literal such as ``{Trailers,"Deleted Scenes"}`` as an array of strings."""
-    inner = F.regexp_replace(as_column(literal), r'^\{|\}$|"', "")
-    return F.when(inner == "", F.array().cast("array<string>")).otherwise(F.split(inner, ","))
+    """A database array literal such as ``{Trailers,"Deleted Scenes"}`` as an array of strings.
+
+    Quoted elements may hold commas, braces and escaped characters; a bare ``NULL`` is a null element.
+    """
+    parts = F.regexp_extract_all(as_column(literal), F.lit(r'"(?:[^"\\]|\\.)*"|[^,{}"]+'), F.lit(0))
+    quoted = lambda part: F.regexp_replace(F.substring(part, F.lit(2), F.length(part) - 2), r"(?s)\\(.)", "$1")
+    return F.transform(parts, lambda part: F.when(part.startswith('"'), quoted(part)).when(part != "NULL", part))

@@ -165,3 +165,11 @@ def test_settled_copies_are_released(spark):
     path = settled.inputFiles()[0].rsplit("/", 1)[0]
     assert settled.count() == 3 and paths.exists(spark, path)
     assert release(spark) == 1 and not paths.exists(spark, path)
+
+
+def test_amounts_and_array_literals(spark):
+    amounts = spark.createDataFrame([("$1,234.50",), ("1,2",), ("-12,345,678",), ("$3.99",), ("x",), (None,)], "t string").select(fn.money("t").cast("string").alias("m"))
+    assert [r.m for r in amounts.collect()] == ["1234.50", None, "-12345678.00", "3.99", None, None]
+    literals = ['{"a,b",c}', "{}", '{Trailers,"Deleted Scenes"}', '{"say \\"x\\"",NULL,"NULL"}', None]
+    arrays = spark.createDataFrame([(t,) for t in literals], "t string").select(fn.text_array("t").alias("a"))
+    assert [r.a for r in arrays.collect()] == [["a,b", "c"], [], ["Trailers", "Deleted Scenes"], ['say "x"', None, "NULL"], None]
