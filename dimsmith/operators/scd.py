@@ -77,7 +77,10 @@ def scd2_upsert(
     ``stored`` apart from the bookkeeping ones.
 
     * a member whose tracked columns changed: its open version is closed the day before, and a
-      new open version starts;
+      new open version starts; an open version that started on ``effective_date`` itself takes the
+      incoming values instead, as no day is left for it;
+    * a changed member whose open version started later than ``effective_date``: the job fails and
+      names it (:func:`scd2_back_dated` lists them all beforehand);
     * a member in no stored version: a first version starts;
     * every other stored version, and every member missing from the batch, stays as it is;
     * a member that has closed versions only is left alone unless ``reactivate``.
@@ -89,13 +92,11 @@ def scd2_upsert(
     c = columns
     open_now = stored.filter(F.col(c.active) == 1)
     history = stored.filter(~F.col(c.active).eqNullSafe(F.lit(1)))
-    delta = scd2_delta(open_now, history, incoming, key, tracked, reactivate)
+    delta = scd2_delta(open_now, history, incoming, key, tracked, effective_date, c, reactivate)
     if settle_delta:
         delta = settle(delta)  # read by the key numbering and by both branches below
 
-    changed = delta.filter("__changed").select(F.col(key).alias("__key"))
-    marked = open_now.join(changed, F.col(key) == F.col("__key"), "left")
-    kept = closed_on(marked, effective_date, c, F.col("__key").isNotNull()).select(*stored.columns)
+    kept = closed_or_replaced(open_now, delta, effective_date, key, c)
     opened = opened_on(delta, stored, effective_date, key, c, ranges)
     return history.unionByName(kept).unionByName(opened)
 
@@ -106,14 +107,20 @@ def scd2_delta(
     incoming: DataFrame,
     key: str,
     tracked: Sequence[str],
+    effective_date: str,
+    c: VersionColumns,
     reactivate: bool = False,
 ) -> DataFrame:
-    """The incoming rows that start a version, marked by whether they replace an open one (``__changed``)."""
-    known = open_now.select(key, *tracked).withColumn("__stored", F.lit(True))
+    """The incoming rows that change something, marked by whether they meet an open version
+    (``__changed``) and whether that one started on the same day (``__same_day``)."""
+    known = open_now.select(key, *tracked, F.col(c.valid_from).alias("__since")).withColumn("__stored", F.lit(True))
     arrived = incoming.alias("n").join(known.alias("o"), F.col(f"n.{key}") == F.col(f"o.{key}"), "left")
     is_new = F.col("__stored").isNull()
     delta = arrived.filter(is_new | any_changed("o", "n", tracked, open_now.schema))
-    delta = delta.select("n.*", (~is_new).alias("__changed"))
+    starts = F.lit(effective_date).cast("date")
+    refused = F.concat(F.lit(f"the batch of {effective_date} comes before the open version of {key} "), F.col(f"n.{key}").cast("string"))
+    same_day = F.when(F.col("__since") > starts, F.raise_error(refused)).otherwise(F.coalesce(F.col("__since") == starts, F.lit(False)))
+    delta = delta.select("n.*", (~is_new).alias("__changed"), same_day.alias("__same_day"))
     if reactivate:
         return delta
     closed_only = history.select(key).distinct()
@@ -121,6 +128,26 @@ def scd2_delta(
     return delta.filter("__changed").unionByName(first_seen.select(*delta.columns))
 
 
+def scd2_back_dated(
+    stored: DataFrame, incoming: DataFrame, key: str, tracked: Sequence[str], effective_date: str, columns: VersionColumns
+) -> DataFrame:
+    """The incoming rows that change a member whose open version started after ``effective_date``."""
+    c = columns
+    later = (F.col(c.active) == 1) & (F.col(c.valid_from) > F.lit(effective_date).cast("date"))
+    pair = incoming.alias("n").join(stored.filter(later).alias("o"), F.col(f"n.{key}") == F.col(f"o.{key}"))
+    return pair.filter(any_changed("o", "n", tracked, stored.schema)).select("n.*")
+
+
+def closed_or_replaced(open_now: DataFrame, delta: DataFrame, effective_date: str, key: str, c: VersionColumns) -> DataFrame:
+    """The open versions after a batch: changed ones closed, or with the new values if they started that day."""
+    values = [x for x in delta.columns if x in open_now.columns and x != key]
+    changes = delta.filter("__changed").select(F.col(key).alias("__key"), "__same_day", *[F.col(x).alias(f"__new_{x}") for x in values])
+    same_day = F.coalesce("__same_day", F.lit(False))
+    rows = open_now.join(changes, F.col(key) == F.col("__key"), "left")
+    rows = rows.withColumns({x: F.when(same_day, F.col(f"__new_{x}")).otherwise(F.col(x)).cast(open_now.schema[x].dataType) for x in values})
+    return closed_on(rows, effective_date, c, F.col("__key").isNotNull() & ~same_day).select(*open_now.columns)
+
+
 def closed_on(rows: DataFrame, effective_date: str, c: VersionColumns, which: Column) -> DataFrame:
     """``rows`` with those that satisfy ``which`` closed the day before ``effective_date``."""
     last_day = F.date_sub(F.lit(effective_date).cast("date"), 1)
@@ -136,8 +163,9 @@ def closed_on(rows: DataFrame, effective_date: str, c: VersionColumns, which: Co
 def opened_on(
     delta: DataFrame, stored: DataFrame, effective_date: str, key: str, c: VersionColumns, ranges: int | None = None
 ) -> DataFrame:
-    """A version open from ``effective_date`` for every row of ``delta``, keyed after the keys of ``stored``."""
-    rows = delta.drop("__changed").withColumn(c.valid_from, F.lit(effective_date).cast("date"))
+    """A version open from ``effective_date`` for every row of ``delta`` but those of ``__same_day``,
+    keyed after the keys of ``stored``."""
+    rows = delta.filter(~F.col("__same_day")).drop("__changed", "__same_day").withColumn(c.valid_from, F.lit(effective_date).cast("date"))
     rows = rows.withColumn(c.valid_to, F.lit(OPEN_END).cast("date")).withColumn(c.active, F.lit(1))
     rows = continue_keys(rows, stored, c.surrogate, [key], ranges=ranges, size_of=delta)
     return rows.select(*[F.col(x).cast(stored.schema[x].dataType).alias(x) for x in stored.columns])

@@ -165,6 +165,22 @@ def scd2_same_batch_twice(t: Tables):
     return scd.scd2_upsert(tier_versions(t), tier_snapshot(t, SECOND), "customer_id", TRACKED, SECOND, COLUMNS)
 
 
+@query(
+    "scd2_same_day_change",
+    f"""WITH {SCD2_CTES}
+SELECT {SHOWN} FROM (
+  SELECT s.customer_dim_id, s.customer_id, coalesce(d.name, s.name) AS name, coalesce(d.segment, s.segment) AS segment,
+         coalesce(d.tier, s.tier) AS tier, s.valid_from, s.valid_to, s.dim_active
+  FROM stored s LEFT JOIN delta d ON d.customer_id = s.customer_id AND d.changed
+  UNION ALL
+  SELECT (SELECT max(customer_dim_id) FROM stored) + row_number() OVER (ORDER BY customer_id), customer_id, name, segment, tier,
+         DATE '{FIRST}', DATE '9999-12-31', 1 FROM delta WHERE NOT changed)""",
+)
+def scd2_same_day_change(t: Tables):
+    """A second batch on the day of the first load: versions of that day take its values, new customers are added."""
+    return scd.scd2_upsert(stored_tiers(t), tier_snapshot(t, SECOND), "customer_id", TRACKED, FIRST, COLUMNS)
+
+
 @query(
     "scd2_invariants",
     "SELECT unnest(['repeated_surrogate_key', 'several_open_versions', 'open_flag_and_end_disagree', 'start_after_end', "

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dimsmith.operators.scd import VersionColumns, closed_on, opened_on, scd2_delta
+from dimsmith.operators.scd import VersionColumns, closed_or_replaced, opened_on, scd2_delta
 from dimsmith.session import settle
 from dimsmith.sources import paths
 from dimsmith.sources.sinks import VersionedTable
@@ -66,13 +66,12 @@ class HistoryTable:
             if place:
                 open_now, added = settle(open_now), settle(added)  # each is read several times below
             history = closed if added is None else closed.unionByName(added)
-            delta = settle(scd2_delta(open_now, history, members, key, tracked))
-            changed = delta.filter("__changed").select(key)
+            delta = settle(scd2_delta(open_now, history, members, key, tracked, date, c))
             opened = opened_on(delta, history.unionByName(open_now), date, key, c)
-            ended = closed_on(open_now.join(changed, key, "left_semi"), date, c, F.lit(True))
-            ended = ended.select(*open_now.columns)
+            after = closed_or_replaced(open_now, delta, date, key, c)
+            ended = after.filter(F.col(c.active) != 1)
             added = ended if added is None else added.unionByName(ended)
-            open_now = open_now.join(changed, key, "left_anti").select(*open_now.columns).unionByName(opened)
+            open_now = after.filter(F.col(c.active) == 1).unionByName(opened)
         self._publish(version, open_now, added)
         return True
 

@@ -176,3 +176,33 @@ def test_type_3(spark):
         (4, "D", None),
         (5, "E", None),
     ]
+
+
+def test_change_on_the_day_a_version_started(stored, incoming):
+    """The version of that day takes the new values and keeps its key; the batch again changes nothing."""
+    first = upsert(stored, incoming)
+    second = incoming.withColumn("address", F.when(F.col("number") == 4001, "Elm Row 2").otherwise(F.col("address")))
+    result = upsert(first, second)
+    expected = [(r[0], r[1], r[2], "Elm Row 2" if r[0] == 5 else r[3], *r[4:]) for r in tuples(first, *stored.columns)]
+    assert tuples(result, *stored.columns) == sorted(expected)
+    assert set(violations(result).values()) == {0}
+    assert tuples(upsert(result, second)) == tuples(result)
+
+
+def test_batch_before_the_open_version_is_refused(stored, incoming):
+    with pytest.raises(Exception, match="open version of number 4001"):
+        upsert(stored, incoming, date="2013-06-01").collect()
+    late = scd.scd2_back_dated(stored, incoming, "number", ["name", "address"], "2013-06-01", COLUMNS)
+    assert tuples(late, "number") == [(4001,)]
+
+
+def test_history_table_on_one_day(spark, stored, incoming):
+    """Two snapshots of one day, as one version and as two, equal the upsert."""
+    second = incoming.withColumn("address", F.lit("Elm Row 2"))
+    want = tuples(upsert(upsert(stored, incoming), second), *stored.columns)
+    for lots in ([[incoming, second]], [[incoming], [second]]):
+        table = HistoryTable(spark, fresh_path(spark, "one-day"), COLUMNS)
+        table.start(stored)
+        for lot in lots:
+            table.apply([("2020-03-01", members) for members in lot], "number", ["name", "address"])
+        assert tuples(table.read(), *stored.columns) == want
