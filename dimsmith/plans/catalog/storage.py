@@ -246,6 +246,22 @@ def tsv_roundtrip(t: Tables):
     return readers.read_dump(t.spark, path, source.schema)
 
 
+@query(
+    "dump_escapes",
+    """SELECT c_custkey, CASE c_custkey % 5 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN c_name || chr(9) || c_mktsegment
+  WHEN 3 THEN c_name || chr(10) || chr(92) || 't' ELSE chr(92) || chr(92) || 'N' || chr(13) END AS note FROM customer""",
+)
+def dump_escapes(t: Tables):
+    """Empty text, NULL, tabs, line ends and backslashes through a dump and back."""
+    path = fresh_path(t.spark, "escapes")
+    kind = F.col("c_custkey") % 5
+    tabbed, broken = F.concat_ws("\t", "c_name", "c_mktsegment"), F.concat("c_name", F.lit("\n\\t"))
+    note = F.when(kind == 0, "").when(kind == 2, tabbed).when(kind == 3, broken).when(kind == 4, "\\\\N\r")
+    source = t.customer.select("c_custkey", note.alias("note"))
+    sinks.write_text(source, path, null_text="\\N")
+    return readers.read_dump(t.spark, path, source.schema)
+
+
 def _csv(t: Tables) -> str:
     path = fresh_path(t.spark, "csv")
     t.customer.write.option("header", True).csv(path)

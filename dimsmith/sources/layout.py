@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimsmith.sources import paths
 
@@ -56,11 +57,14 @@ def write_bucketed_table(df: DataFrame, table: str, key: str, buckets: int) -> N
 
 def read_partition(spark: SparkSession, path: str, column: str, value: object) -> DataFrame:
     """One partition of a table; the filter prunes all other folders before any file is opened."""
-    return read_all(spark, path, column).filter(F.col(column) == value)
+    return read_all(spark, path, column).filter(F.col(column) == F.lit(str(value)))
 
 
 def read_all(spark: SparkSession, path: str, column: str) -> DataFrame:
-    return spark.read.option("basePath", path).parquet(path).withColumn(column, F.col(column).cast("string"))
+    """The whole table; partition values stay the text they were written as (``01`` is not 1)."""
+    guessed = spark.read.option("basePath", path).parquet(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == column else f for f in guessed]
+    return spark.read.schema(T.StructType(fields)).option("basePath", path).parquet(path)
 
 
 def drop_partition(spark: SparkSession, path: str, column: str, value: object) -> bool:

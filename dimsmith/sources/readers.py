@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,16 +98,38 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    r"""A tab-separated database dump: ``\N`` is NULL and a line ``\.`` ends the data."""
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    lines = spark.read.schema(as_text).csv(path, sep="\t", quote="", nullValue="\\N", emptyValue="")
-    rows = lines.filter(~F.col(schema[0].name).eqNullSafe("\\."))
-    return rows.select(*[_from_text(f) for f in schema])
+    r"""A tab-separated database dump: ``\N`` is NULL, ``\t``, ``\n``, ``\\`` and the like are decoded,
+    and a line ``\.`` ends the data.
+
+    Empty text stays empty text. Blank lines, such as those after the end mark, are no rows. A line
+    with fewer fields than ``schema`` fails the job.
+    """
+    lines = spark.read.text(path).filter((F.col("value") != "\\.") & (F.col("value") != ""))
+    fields = lines.select(F.split("value", "\t", -1).alias("f"))
+    texts = fields.select(*[_unescaped(F.element_at("f", i + 1)).alias(x.name) for i, x in enumerate(schema)])
+    return texts.select(*[_from_text(x) for x in schema])
+
+
+#: What stands after a backslash for a control character in a dump; any other character stands for itself.
+ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
+
+
+def _unescaped(field: Column) -> Column:
+    def decoded(part: Column) -> Column:
+        for letter, character in ESCAPES.items():
+            part = F.replace(part, F.lit(f"\\{letter}"), F.lit(character))
+        return F.replace(part, F.lit("\\"), F.lit(""))
+
+    # What lies between pairs of backslashes has single ones only.
+    plain = F.array_join(F.transform(F.split(field, r"\\\\", -1), decoded), "\\")
+    return F.when(field == "\\N", None).when(field.contains("\\"), plain).otherwise(field)
 
 
-def _from_text(field: T.StructField):
+def _from_text(field: T.StructField) -> Column:
     if isinstance(field.dataType, T.ArrayType):
         return text_array(field.name).cast(field.dataType).alias(field.name)
+    if isinstance(field.dataType, T.BinaryType):
+        return F.unhex(F.regexp_replace(field.name, r"^\\x", "")).alias(field.name)
     return F.col(field.name).cast(field.dataType).alias(field.name)
 
 

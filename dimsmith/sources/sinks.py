@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimsmith.functions.compare import any_changed
 from dimsmith.sources import paths
@@ -52,13 +53,30 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **kwar
 
 
 def text_rows(df: DataFrame) -> DataFrame:
-    """Every column as text, blanks trimmed from both sides, as the text output writes it."""
-    return df.select(*[F.trim(F.col(c).cast("string")).alias(c) for c in df.columns])
+    """Every column as text, blanks trimmed from both sides, as the text output writes it; bytes as ``\\x`` and hex."""
+    as_text = {
+        f.name: F.concat(F.lit("\\x"), F.lower(F.hex(f.name))) if isinstance(f.dataType, T.BinaryType) else F.col(f.name).cast("string")
+        for f in df.schema
+    }
+    return df.select(*[F.trim(text).alias(name) for name, text in as_text.items()])
 
 
 def write_text(df: DataFrame, path: str, separator: str = "\t", null_text: str = "") -> None:
-    """Delimited text without a header, one file per task."""
-    text_rows(df).write.mode("overwrite").csv(path, sep=separator, header=False, nullValue=null_text, quote="")
+    r"""Delimited text without a header, one line a row.
+
+    Backslashes, line ends and separators inside values are written as a database dump has them
+    (``\\``, ``\n``, ``\t``), so that :func:`readers.read_dump` reads them back. With ``null_text``
+    ``\N`` NULL and empty text stay apart.
+    """
+
+    def escaped(text: Column) -> Column:
+        marks = {"\\": "\\\\", "\n": "\\n", "\r": "\\r", separator: "\\t" if separator == "\t" else f"\\{separator}"}
+        for plain, written in marks.items():
+            text = F.replace(text, F.lit(plain), F.lit(written))
+        return F.coalesce(text, F.lit(null_text))
+
+    rows = text_rows(df)
+    rows.select(F.concat_ws(separator, *[escaped(F.col(c)) for c in rows.columns]).alias("value")).write.mode("overwrite").text(path)
 
 
 class VersionedTable:

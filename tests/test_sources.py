@@ -173,3 +173,20 @@ def test_amounts_and_array_literals(spark):
     literals = ['{"a,b",c}', "{}", '{Trailers,"Deleted Scenes"}', '{"say \\"x\\"",NULL,"NULL"}', None]
     arrays = spark.createDataFrame([(t,) for t in literals], "t string").select(fn.text_array("t").alias("a"))
     assert [r.a for r in arrays.collect()] == [["a,b", "c"], [], ["Trailers", "Deleted Scenes"], ['say "x"', None, "NULL"], None]
+
+
+def test_dump_round_trip(spark):
+    rows = [(1, "", b"\x00\\n"), (2, None, None), (3, "a\tb\nc\\d\\te\r", b""), (4, "\\N", b"\xff"), (5, "\\\\n", None)]
+    df = spark.createDataFrame(rows, "k int, v string, b binary")
+    path = fresh_path(spark, "escapes")
+    sinks.write_text(df, path, null_text="\\N")
+    assert sorted((r.k, r.v, None if r.b is None else bytes(r.b)) for r in readers.read_dump(spark, path, df.schema).collect()) == rows
+
+
+def test_partition_values_stay_text(spark):
+    path = fresh_path(spark, "codes")
+    df = spark.createDataFrame([(1, "01"), (2, "02"), (3, "1"), (4, "9")], "k int, code string")
+    layout.write_by_list(df, path, "code", ["01", "02", "1"])
+    assert tuples(layout.read_all(spark, path, "part_value"), "k", "part_value") == [(1, "01"), (2, "02"), (3, "1"), (4, "other")]
+    assert tuples(layout.read_partition(spark, path, "part_value", "01"), "k") == [(1,)]
+    assert tuples(layout.read_partition(spark, path, "part_value", 1), "k") == [(3,)]
