@@ -7,7 +7,8 @@ but its values and a re-run task produces the same result.  The window runs insi
 groups that reach over a cut get the total of their earlier ranges added.  A cut lies inside at
 most one group, so that table of carried totals has at most two rows per cut.
 
-Small inputs (checked by counting) take the plain window.
+Small inputs (checked by counting) take the plain window. Values and their types are the same on
+both ways.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dimsmith.session import settle
 
@@ -134,9 +136,11 @@ def _windowed(
 ) -> DataFrame:
     window = Window.partitionBy(*partition_by).orderBy(*[t.sort() for t in terms])
     rows = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return df.select(
+    out = df.select(
         "*", *[m.local.over(rows if m.by_rows else window).alias(name) for name, m in measures.items()]
     )
+    # Numbers and ranks are long, however few rows there are now.
+    return out.withColumns({n: F.col(n).cast("long") for n in measures if out.schema[n].dataType == T.IntegerType()})
 
 
 def _typed(df: DataFrame, term: OrderTerm) -> str:
@@ -219,7 +223,7 @@ def _add_carried(
     joined = _null_safe_join(local, F.broadcast(carried), [RANGE, *partition_by], "left")
     for name in measures:
         here, earlier = F.col(name), F.col(f"{CARRY}_{name}")
-        joined = joined.withColumn(name, F.coalesce(here + earlier, here, earlier))
+        joined = joined.withColumn(name, F.coalesce(here + earlier, here, earlier).cast(local.schema[name].dataType))
     return joined
 
 

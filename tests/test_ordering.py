@@ -102,3 +102,11 @@ def test_surrogate_keys_continue(spark):
     empty = stored.filter("false")
     assert next_key(empty, "dim_id").collect()[0].next_key == 1
     assert tuples(continue_keys(new, empty, "dim_id", ["k"], ranges=2), "k", "dim_id") == [(30, 1), (40, 2), (50, 3)]
+
+
+def test_types_do_not_depend_on_the_ranges(rows):
+    measures = {"n": ordering.row_number(), "r": ordering.rank(), "dr": ordering.dense_rank(["d", "id"]), "total": ordering.running_sum("a"), "ids": ordering.running_sum("id")}
+    amounts = rows.withColumn("a", F.col("v").cast("decimal(18,2)"))
+    plain, cut = (ordering.ordered(amounts, ["d", "id"], measures, ranges=k) for k in (1, 4))
+    assert plain.dtypes == cut.dtypes and plain.dtypes[-5:-1] == [("n", "bigint"), ("r", "bigint"), ("dr", "bigint"), ("total", "decimal(28,2)")]
+    assert tuples(plain, "id", *measures) == tuples(cut, "id", *measures)
