@@ -11,8 +11,11 @@ Lists are joined in two steps, so that a list of thousands of copies never yield
 1. each member is paired with the list's head, the member that meets most others in all its lists;
    what is confirmed is contracted to components
 2. only lists that still hold several components are joined with themselves, and only members of
-   different components are paired, unless the shingles that one of them shares with no other
-   component are too many for a link: a crowd of copies just below the threshold gives few pairs
+   different components are paired, unless two exact bounds rule a link out: the shingles that one
+   of them shares with no other component, and the parities of both. A class has ``PARITIES`` bits,
+   each telling whether an odd number of its shingles falls in that bucket; bits that differ are at
+   most the shingles that only one of two classes has. So a crowd of copies just below the
+   threshold gives few pairs, and of those that are left the full sets decide
 
 Every pair that shares a value is thus either in one component already or compared. Of a pair that
 shares a value the remaining minima are counted only then; pairs with fewer than ``MATCHES`` equal
@@ -32,7 +35,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.llm.common import WordHashes, narrowed, shingle_hashes
@@ -42,6 +45,7 @@ MINIMA, WIDTH, PERMUTATIONS = 160, 8, 3
 #: Of 160 minima, 128 agree on average at a similarity of 0.8, with a deviation of 5.
 MATCHES = 104
 PERCENT = 80
+PARITIES = 512
 _random = np.random.default_rng(20)
 FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 MASKS = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
@@ -76,8 +80,21 @@ def coordinate_values(least: np.ndarray) -> np.ndarray:
     return mixed.view(np.int64)
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """For each of ``PARITIES`` buckets, whether an odd number of shingles falls in it, in words of 64 bits."""
+    odd = np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def close(a: str, b: str, percent: int) -> Column:
+    """Whether the parities of two classes leave a link possible; true of every link."""
+    differ = sum((F.bit_count(F.get(f"parities_{a}", F.lit(k)).bitwiseXOR(F.get(f"parities_{b}", F.lit(k)))) for k in range(PARITIES // 64)), F.lit(0))
+    total = F.col(f"n_shingles_{a}") + F.col(f"n_shingles_{b}")
+    return 100 * (total - differ) >= percent * (total + differ)
+
+
 def signatures(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, cid, coordinates, minima) of every document; the last three null without words."""
+    """(doc_id, n_shingles, cid, coordinates, minima, parities) of every document; the last four null without words."""
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = WordHashes()
@@ -87,15 +104,15 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
                 own = shingle_set(text, width, known)
                 if len(own):
                     least = minima(own)
-                    rows.append((len(own), class_id(own), coordinate_values(least), least.astype(np.uint8).tobytes()))
+                    rows.append((len(own), class_id(own), coordinate_values(least), least.astype(np.uint8).tobytes(), parities(own)))
                 else:
-                    rows.append((0, None, None, None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "coordinates", "minima"])
+                    rows.append((0, None, None, None, None))
+            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "coordinates", "minima", "parities"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<long>, minima binary")
+    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<long>, minima binary, parities array<long>")
 
 
 def class_texts(documents: DataFrame, width: int) -> DataFrame:
@@ -142,9 +159,9 @@ def alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, pe
             yield batch.loc[held, ["a", "b"]]
 
     side = lambda df, name, *more: df.select(F.col("cid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in more])
-    near = pairs.join(side(classes, "a", "minima", "n_shingles"), "a").join(side(classes, "b", "minima", "n_shingles"), "b")
+    near = pairs.join(side(classes, "a", "minima", "n_shingles", "parities"), "a").join(side(classes, "b", "minima", "n_shingles", "parities"), "b")
     small, large = F.least("n_shingles_a", "n_shingles_b"), F.greatest("n_shingles_a", "n_shingles_b")
-    near = near.where(100 * small >= percent * large).where(F.pandas_udf(agree, "int")(F.col("minima_a"), F.col("minima_b")) >= MATCHES).select("a", "b")
+    near = near.where((100 * small >= percent * large) & close("a", "b", percent)).where(F.pandas_udf(agree, "int")(F.col("minima_a"), F.col("minima_b")) >= MATCHES).select("a", "b")
     full_pairs = near.join(side(texts, "a", "packed"), "a").join(side(texts, "b", "packed"), "b")
     return full_pairs.mapInPandas(confirm, "a binary, b binary")
 
@@ -170,7 +187,7 @@ def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percen
     """(doc_id, n_shingles, component_id, kept) of every document. ``settle`` writes intermediate tables once."""
     documents = narrowed(documents, "doc_id", "text")
     signed = settle(signatures(documents, width))
-    classes = signed.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("coordinates").alias("coordinates"), F.first("minima").alias("minima"))
+    classes = signed.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("coordinates").alias("coordinates"), F.first("minima").alias("minima"), F.first("parities").alias("parities"))
     posted = classes.select("cid", F.explode("coordinates").alias("value"))
     counts = posted.groupBy(F.col("value").alias("its")).agg(F.count("*").alias("size")).where(F.col("size") > 1)
     lists = settle(posted.join(counts, F.col("value") == F.col("its")).select("value", "cid", "size"))
@@ -180,7 +197,7 @@ def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percen
     heads = lists.groupBy(F.col("value").alias("its")).agg(F.max(F.struct("weight", "cid")).alias("head"))
     lists = settle(lists.join(heads, F.col("value") == F.col("its")).select("value", "cid", F.col("head.cid").alias("head")))
     members = lists.select("cid").distinct().withColumnRenamed("cid", "member")
-    own = settle(classes.select("cid", "n_shingles", "minima").join(members, F.col("cid") == F.col("member"), "left_semi"))
+    own = settle(classes.select("cid", "n_shingles", "minima", "parities").join(members, F.col("cid") == F.col("member"), "left_semi"))
     texts = settle(class_texts(documents, width).join(own.select(F.col("cid").alias("member")), F.col("cid") == F.col("member"), "left_semi").groupBy("cid").agg(F.first("packed").alias("packed")))
 
     pairs = lists.where(F.col("cid") != F.col("head")).select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct()
@@ -190,7 +207,7 @@ def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percen
     placed = lists.join(roots.select(F.col("u").alias("member"), F.col("v").alias("root")), F.col("cid") == F.col("member"), "left").select("value", "cid", "head", F.coalesce("root", "cid").alias("root"))
     mixed = placed.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).where(F.col("low") != F.col("high")).select(F.col("value").alias("its"))
     open_lists = settle(placed.join(mixed, F.col("value") == F.col("its"), "left_semi"))
-    bounds = own.select(F.col("cid").alias("member"), "n_shingles").join(alone_in(open_lists.select("cid", "root").distinct(), texts, width), "member")
+    bounds = own.select(F.col("cid").alias("member"), "n_shingles", "parities").join(alone_in(open_lists.select("cid", "root").distinct(), texts, width), "member")
     open_lists = settle(open_lists.join(bounds, F.col("cid") == F.col("member")).where(100 * (F.col("n_shingles") - F.col("alone")) >= percent * F.col("n_shingles")).drop("member"))
     left, right = (open_lists.select(*[F.col(c).alias(f"{c}_{side}") for c in open_lists.columns]) for side in "ab")
     # shingles that no other component has are in no intersection, and in every union
@@ -198,7 +215,7 @@ def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percen
     apart = (F.col("cid_a") > F.col("cid_b")) & (F.col("root_a") != F.col("root_b"))
     # pairs with the head have been compared
     new = (F.col("cid_a") != F.col("head_b")) & (F.col("cid_b") != F.col("head_b"))
-    rest = left.join(right, (F.col("value_a") == F.col("value_b")) & apart & new & fits("a", "b") & fits("b", "a")).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
+    rest = left.join(right, (F.col("value_a") == F.col("value_b")) & apart & new & fits("a", "b") & fits("b", "a") & close("a", "b", percent)).select(F.col("cid_a").alias("a"), F.col("cid_b").alias("b")).distinct()
     more = settle(alike(rest, own, texts, width, percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
     if not more.isEmpty():
         roots = components(roots.unionByName(more), settle)

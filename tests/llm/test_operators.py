@@ -134,6 +134,16 @@ def test_near_duplicates(spark, rows):
     assert minhash_dedup.near_duplicates(frame(spark, []), settle).count() == 0
 
 
+def test_parities_bound_what_two_sets_do_not_share():
+    draw = np.random.default_rng(3)
+    for size in (1, 40, 300, 5_000):
+        first = np.unique(draw.integers(0, 1 << 63, size, dtype=np.uint64))
+        second = np.unique(np.concatenate((first[draw.random(len(first)) < 0.9], draw.integers(0, 1 << 63, size // 10, dtype=np.uint64))))
+        differ = int(np.bitwise_count((minhash_dedup.parities(first) ^ minhash_dedup.parities(second)).view(np.uint64)).sum())
+        assert differ <= len(np.setxor1d(first, second))
+        assert minhash_dedup.parities(first).view(np.uint64).any()
+
+
 @pytest.mark.parametrize("hot", [20_000, 1])
 def test_repeats(spark, rows, hot):
     given = [(d, t) for d, t in rows if d is not None]
