@@ -197,7 +197,11 @@ def training_rows(df: DataFrame, id_column: str, text: str, lang: str, usable: C
 
     order = F.xxhash64(F.col(id_column))
     rows = df.where(usable & F.col(lang).isNotNull() & F.col(text).isNotNull()).select(F.col(lang).alias("lang"), F.col(text).alias("text"), order.alias("pick"))
-    ranked = rows.select("lang", "pick").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("pick"))).where(F.col("place") <= max_rows)
+    # hashes are even, so of n rows the share 2 * max_rows / n that lies lowest holds the max_rows least
+    sizes = rows.groupBy(F.col("lang").alias("its")).agg(F.count("*").alias("n"))
+    lowest = F.lit(-(2.0**63)) + F.lit(2.0**64) * F.least(F.lit(1.0), 2.0 * max_rows / F.col("n"))
+    few = rows.select("lang", "pick").join(F.broadcast(sizes), (F.col("lang") == F.col("its")) & (F.col("pick").cast("double") <= lowest))
+    ranked = few.select("lang", "pick").withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("pick"))).where(F.col("place") <= max_rows)
     limits = ranked.groupBy("lang").agg(F.max("pick").alias("most")).withColumnRenamed("lang", "its")
     # a row for each language, as the model has; without texts being moved
     return rows.join(F.broadcast(limits), (F.col("lang") == F.col("its")) & (F.col("pick") <= F.col("most"))).select("lang", "text", "pick")
