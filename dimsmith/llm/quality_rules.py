@@ -199,9 +199,13 @@ def learn(labelled: DataFrame, id_column: str, label: str, stats: str = "stats",
     """Rules from rows with statistics and a label (0: reject, else keep); ``options`` go to ``cover``."""
     values = features(stats)
     order = F.xxhash64(F.col(id_column))
+    usable = labelled.where(F.col(id_column).isNotNull() & F.col(label).isNotNull())
+    # hashes are even, so the lowest share of them holds the rows wanted, and tasks send no more than about twice as many
+    share = 2 * max_labelled / max(1, usable.select(order).distinct().count())
+    if share < 1:
+        usable = usable.where(order.cast("double") <= 2.0**64 * share - 2.0**63)
     rows = (
-        labelled.where(F.col(id_column).isNotNull() & F.col(label).isNotNull())
-        .groupBy(F.col(id_column))
+        usable.groupBy(F.col(id_column))
         .agg(F.max(F.struct(*[v.alias(n) for n, v in values.items()])).alias("f"), (F.avg((F.col(label) == 0).cast("double")) > 0.5).alias("bad"))
         .select("f.*", "bad", order.alias("order"))
         .orderBy("order", *values)
