@@ -125,6 +125,28 @@ def test_licenses(spark, rows):
     assert license_scan.scan(frame(spark, rows).limit(0)).count() == 0
 
 
+def wrapped(words, size):
+    words = words.split()
+    return "\n".join(" * " + " ".join(words[i : i + size]) for i in range(0, len(words), size))
+
+
+def test_whole_wrapped_licenses(spark):
+    mit, gpl = license_scan.TEMPLATES["MIT"][3:], license_scan.TEMPLATES["GPL-2.0"][1:4]
+    texts = {
+        1: "The MIT License (MIT)\n\nCopyright (c) 2020 Some One\n\n" + "\n\n".join(wrapped(p, 11) for p in mit),
+        2: "/*\n * prog.c, a program of mine\n" + "\n *\n".join(wrapped(p, 9) for p in gpl) + "\n */\nint main() { return 0; }",
+        3: "an introduction without a blank line\n" + "\n".join(wrapped(p, 11) for p in mit) + "\nand a last remark on other things entirely",
+        4: "some text on software and its use\nin which permission is not granted to any person",
+    }
+    got = license_scan.scan(frame(spark, texts.items())).collect()
+    of = lambda d: sorted((r.unit, r.place, r.license) for r in got if r.doc_id == d)
+    assert [r for r in of(1) if r[0] == "paragraph"] == [("paragraph", k, "MIT") for k in (2, 3, 4)] and ("sentence", 0, "MIT") in of(1)
+    assert {(u, li) for u, _, li in of(2)} == {("lines", "GPL-2.0")} and len(of(2)) == 3
+    sizes = [-(-len(p.split()) // 11) for p in mit]
+    assert of(3) == [("lines", 1, "MIT"), ("lines", 1 + sizes[0], "MIT"), ("lines", 1 + sizes[0] + sizes[1], "MIT")]
+    assert of(4) == []
+
+
 def test_near_duplicates(spark, rows):
     out = minhash_dedup.near_duplicates(frame(spark, rows), settle)
     want = brute.near([(10**6 if d is None else d, t) for d, t in rows])
