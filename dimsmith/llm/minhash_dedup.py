@@ -1,10 +1,11 @@
 """Near-duplicates by MinHash: an inverted join of signature coordinates, confirmed on full sets.
 
 Documents whose shingle sets are equal form a class; a class is compared once, whatever its size.
-A class's signature has ``MINIMA`` minima. Each of three permutations cuts them into coordinates of
-``WIDTH`` minima, and each class is posted under its 60 coordinate values. Two classes of similarity
-s share a value with probability of about 1 - (1 - s^8)^60: at 0.8 all but 2 in 100,000 do, at 0.85
-all but one in 100 million; of pairs that share only a passage (0.3) 4 in 1,000 do.
+A class's signature has ``MINIMA`` minima; each is a coordinate, and a coordinate with its minimum is
+a value. All values have one order, the rarest first, and each class is posted under the first
+``PREFIX`` of its own. Two classes with ``MATCHES`` equal minima share a value there: of all they share
+the first one is followed by ``MATCHES - 1`` others in both. So no such pair is lost. Values that no
+other class has come first and are not posted, so a class with ``PREFIX`` of them is in no list.
 
 Lists are joined in two steps, so that a list of thousands of copies never yields all its pairs:
 
@@ -17,10 +18,11 @@ Lists are joined in two steps, so that a list of thousands of copies never yield
    most the shingles that only one of two classes has. So a crowd of copies just below the
    threshold gives few pairs, and of those that are left the full sets decide
 
-Every pair that shares a value is thus either in one component already or compared. Of a pair that
-shares a value the remaining minima are counted only then; pairs with fewer than ``MATCHES`` equal
-minima are dropped (at 0.8 one in a million would be), the others are confirmed on the full shingle
-sets of their whole texts. Nothing is capped and nothing is collected.
+Every pair that shares a posted value is thus either in one component already or compared. Its
+collisions are counted on both signatures, minimum by minimum, instead of by merging the lists with
+skips: the counts are those of all lists. Pairs with fewer than ``MATCHES`` equal minima are dropped
+(at 0.8 one in a million would be), the others are confirmed on the full shingle sets of their whole
+texts. Nothing is capped and nothing is collected.
 
 A document without words has an empty set and is linked with nothing. Null ids are kept: they are
 no candidates for a component's least id unless it has no other. Repeated rows each get their row.
@@ -41,16 +43,16 @@ from pyspark.sql import functions as F
 from dimsmith.llm.common import WordHashes, narrowed, shingle_hashes
 from dimsmith.llm.components import components
 
-MINIMA, WIDTH, PERMUTATIONS = 160, 8, 3
+MINIMA = 160
 #: Of 160 minima, 128 agree on average at a similarity of 0.8, with a deviation of 5.
 MATCHES = 104
+#: Two classes with MATCHES equal minima share one of so many first values.
+PREFIX = MINIMA - MATCHES + 1
 PERCENT = 80
 PARITIES = 512
 _random = np.random.default_rng(20)
 FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 MASKS = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
-MULTIPLIERS = _random.integers(0, 1 << 63, WIDTH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-PLACES = np.concatenate([_random.permutation(MINIMA).reshape(-1, WIDTH) for _ in range(PERMUTATIONS)])
 
 Settle = Callable[[DataFrame], DataFrame]
 
@@ -72,14 +74,6 @@ def minima(shingles: np.ndarray) -> np.ndarray:
     return out
 
 
-def coordinate_values(least: np.ndarray) -> np.ndarray:
-    """A hash of each coordinate's minima and its number."""
-    with np.errstate(over="ignore"):
-        mixed = (least[PLACES].astype(np.uint64) * MULTIPLIERS).sum(axis=1, dtype=np.uint64)
-        mixed = (mixed ^ (mixed >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.arange(len(PLACES), dtype=np.uint64)
-    return mixed.view(np.int64)
-
-
 def parities(shingles: np.ndarray) -> np.ndarray:
     """For each of ``PARITIES`` buckets, whether an odd number of shingles falls in it, in words of 64 bits."""
     odd = np.bincount((shingles % np.uint64(PARITIES)).astype(np.int64), minlength=PARITIES) & 1
@@ -104,7 +98,7 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
                 own = shingle_set(text, width, known)
                 if len(own):
                     least = minima(own)
-                    rows.append((len(own), class_id(own), coordinate_values(least), least.astype(np.uint8).tobytes(), parities(own)))
+                    rows.append((len(own), class_id(own), least.view(np.int32), least.astype(np.uint8).tobytes(), parities(own)))
                 else:
                     rows.append((0, None, None, None, None))
             out = pd.DataFrame(rows, columns=["n_shingles", "cid", "coordinates", "minima", "parities"])
@@ -112,7 +106,7 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
             yield out
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<long>, minima binary, parities array<long>")
+    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<int>, minima binary, parities array<long>")
 
 
 def class_texts(documents: DataFrame, width: int) -> DataFrame:
@@ -183,18 +177,27 @@ def alone_in(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     return each.groupBy(F.col("cid").alias("member")).agg(F.count_if(F.col("low") == F.col("high")).alias("alone"))
 
 
+def prefixes(classes: DataFrame, settle: Settle) -> DataFrame:
+    """(value, cid, size): the first ``PREFIX`` values of each class, the rarest first, without those of one class only."""
+    each = classes.select("cid", F.posexplode("coordinates").alias("place", "least"))
+    each = each.select("cid", F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("least").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("value"))
+    counts = each.groupBy(F.col("value").alias("its")).agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    shared = settle(each.join(counts, F.col("value") == F.col("its")).select("value", "cid", "size"))
+    # the others of a class are its alone and come first
+    own = shared.groupBy("cid").agg(F.array_sort(F.collect_list(F.struct("size", "value"))).alias("own")).where(F.size("own") > MINIMA - PREFIX)
+    return own.select("cid", F.explode(F.slice("own", F.lit(1), F.size("own") - (MINIMA - PREFIX))).alias("one")).select("one.value", "cid", "one.size")
+
+
 def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every document. ``settle`` writes intermediate tables once."""
     documents = narrowed(documents, "doc_id", "text")
     signed = settle(signatures(documents, width))
     classes = signed.where(F.col("cid").isNotNull()).groupBy("cid").agg(F.min("doc_id").alias("first_id"), F.first("n_shingles").alias("n_shingles"), F.first("coordinates").alias("coordinates"), F.first("minima").alias("minima"), F.first("parities").alias("parities"))
-    posted = classes.select("cid", F.explode("coordinates").alias("value"))
-    counts = posted.groupBy(F.col("value").alias("its")).agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    lists = settle(posted.join(counts, F.col("value") == F.col("its")).select("value", "cid", "size"))
+    lists = settle(prefixes(classes, settle))
     # a text that others were copied from meets most of them: such members head their lists
     weight = lists.groupBy(F.col("cid").alias("member")).agg(F.sum("size").alias("weight"))
     lists = lists.join(weight, F.col("cid") == F.col("member")).select("value", "cid", "weight")
-    heads = lists.groupBy(F.col("value").alias("its")).agg(F.max(F.struct("weight", "cid")).alias("head"))
+    heads = lists.groupBy(F.col("value").alias("its")).agg(F.max(F.struct("weight", "cid")).alias("head"), F.count("*").alias("size")).where(F.col("size") > 1)
     lists = settle(lists.join(heads, F.col("value") == F.col("its")).select("value", "cid", F.col("head.cid").alias("head")))
     members = lists.select("cid").distinct().withColumnRenamed("cid", "member")
     own = settle(classes.select("cid", "n_shingles", "minima", "parities").join(members, F.col("cid") == F.col("member"), "left_semi"))

@@ -156,6 +156,25 @@ def test_near_duplicates(spark, rows):
     assert minhash_dedup.near_duplicates(frame(spark, []), settle).count() == 0
 
 
+def test_prefixes_meet_every_pair_of_enough_equal_minima(spark):
+    draw = np.random.default_rng(8)
+    base = draw.integers(-(1 << 31), 1 << 31, (40, minhash_dedup.MINIMA)).astype(np.int32)
+    rows = []
+    for k, first in enumerate(base):
+        second = first.copy()
+        # differences spread so that no eight minima that stand together stay equal
+        second[draw.permutation(minhash_dedup.MINIMA)[: minhash_dedup.MINIMA - minhash_dedup.MATCHES + (k >= 20)]] += 1
+        rows += [(bytearray([k, 0]), first.tolist()), (bytearray([k, 1]), second.tolist())]
+    lists = minhash_dedup.prefixes(spark.createDataFrame(rows, "cid binary, coordinates array<int>"), settle).collect()
+    met = {}
+    for r in lists:
+        met.setdefault(r.value, set()).add(bytes(r.cid))
+    for k in range(20):
+        assert {bytes([k, 0]), bytes([k, 1])} in met.values()
+    # one fewer, and neither is posted: no other class has any of their values
+    assert not any(bytes([k, 0]) in m for m in met.values() for k in range(20, 40))
+
+
 def test_parities_bound_what_two_sets_do_not_share():
     draw = np.random.default_rng(3)
     for size in (1, 40, 300, 5_000):
