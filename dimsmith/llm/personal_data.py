@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.llm import spans as S
-from dimsmith.llm.common import narrowed, once, whole
+from dimsmith.llm.common import narrowed, once, unused, whole
 
 #: Reported further kinds have at least this score.
 LEAST = 0.5
@@ -77,15 +77,28 @@ def scan(df: DataFrame, text: str = "text", into: str = "pii") -> DataFrame:
 
 
 def redact(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` with each span of its texts replaced by its kind in brackets, kind after kind; null stays null.
+    """``df`` with the spans of its texts that ``scan`` reports, of all kinds, replaced by their kind in brackets; null stays null.
 
-    The least certain kind, ``local_phone``, is left in place.
+    Spans that overlap are replaced as one, by the first of their kinds.
     """
     others = [c for c in df.columns if c != text]
-    for kind in KINDS[:-1]:
-        own = F.col(f"`{text}`")
-        df = once(df, text, S.replaced(own, kind.pattern, f"[{kind.name.upper()}]", kind.holds, own.rlike(kind.may)))
-    return df.select(*[F.col(f"`{c}`") for c in others], F.col(f"`{text}`"))
+    own, into = F.col(f"`{text}`"), unused(df, "spans")
+    each = F.concat(*[found(whole(f"`{text}`"), k, rank) for rank, k in enumerate(KINDS)])
+    rows = once(df, into, F.array_sort(F.transform(each, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank")))))
+
+    def join(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), F.least(last["rank"], s["rank"]).alias("rank"))
+        return F.when((F.size(done) > 0) & (s["start"] < F.get(done, F.size(done) - 1)["end"]), F.array_append(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), joined)).otherwise(F.array_append(done, s))
+
+    rows = once(rows, into, F.aggregate(into, F.array().cast("array<struct<start:bigint,end:bigint,rank:int>>"), join))
+    names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
+    cut = lambda start, end: F.substring(own, (start + 1).cast("int"), (end - start).cast("int"))
+    before = lambda k: F.coalesce(F.get(into, k - 1)["end"], F.lit(0))
+    pieces = F.transform(into, lambda s, k: F.concat(cut(before(k), s["start"]), F.get(names, s["rank"])))
+    rest = cut(before(F.size(into)), F.length(own))
+    rows = once(rows, text, F.when(F.size(into) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(own))
+    return rows.select(*[F.col(f"`{c}`") for c in others], own)
 
 
 def digests(documents: DataFrame) -> DataFrame:

@@ -45,14 +45,6 @@ def spans(text: Column, kind: str, rank: int, pattern: str, holds: Callable[[Col
     return found if may is None else F.when(may, found).otherwise(none)
 
 
-def replaced(text: Column, pattern: str, put: str, holds: Callable[[Column], Column] | None = None, may: Column | None = None) -> Column:
-    """The text with each match for which ``holds`` replaced by ``put``."""
-    keep = (lambda x: F.lit(True)) if holds is None else holds
-    part = lambda x: F.when(x["found"].isNull(), x["piece"]).otherwise(F.concat(x["piece"], F.when(keep(x["found"]), F.lit(put)).otherwise(x["found"])))
-    out = F.array_join(F.transform(walked(text, pattern), part), "")
-    return out if may is None else F.when(may, out).otherwise(text)
-
-
 def digits(value: Column) -> Column:
     return F.regexp_replace(value, "[^0-9]", "")
 

@@ -1,6 +1,7 @@
 """Each operator against a plain version, on small rows with nulls, ties, repeats and clashing columns."""
 
 import hashlib
+import re
 import struct
 
 import numpy as np
@@ -72,6 +73,21 @@ def test_personal_data(spark, rows):
     assert "4111 1111 1111 1111" not in hidden[1][0] and "[PHONE]" in hidden[1][0] and hidden[100] == (None,) and hidden[0] == (LINES[0],)
 
 
+def test_all_reported_spans_are_redacted(spark, rows):
+    more = [(200, "phone (555) 123-4567 or 🙂 +1 555 123 4567 89, card 4111 1111 1111 1111, tel 4111 1111-1111 end"), (201, "size 12 3456-7890 of no phone" + " far" * 20 + " 12 3456-7890")]
+    before = by_id(personal_data.digests(frame(spark, [*rows, *more])), "spans")
+    hidden = by_id(personal_data.redact(frame(spark, [*rows, *more])), "text")
+    assert "local_phone:6:20" in before[200][0] and hidden[200][0].startswith("phone [LOCAL_PHONE] or 🙂 [PHONE]")
+    assert hidden[201][0].endswith("12 3456-7890")
+    for d, t in [*rows, *more]:
+        spans = sorted((int(s), int(e)) for _, s, e in (x.split(":") for x in before[d][0].split(",") if x))
+        left, at = [], 0
+        for start, end in spans:
+            left.append(t[at : max(at, start)] + "\0" * (start >= at))
+            at = max(at, end)
+        assert re.sub(r"\[(EMAIL|IP|CARD|PHONE|IBAN|LOCAL_PHONE)\]", "\0", hidden[d][0] or "") == "".join(left) + (t or "")[at:]
+
+
 def test_secrets(spark, rows):
     got = by_id(secrets.digests(frame(spark, rows), settle), "n_assign", "n_access", "n_hex", "base_sha256")
     for d, t in rows:
