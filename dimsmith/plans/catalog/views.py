@@ -90,8 +90,9 @@ def sales_by_category(t: Tables):
 
 
 def _payments(t: Tables):
-    """Film, store and amount of every line; the order adds nothing these sums need, as every line has one."""
-    return t.lineitem.select(
+    """Film, store and amount of every line that has an order."""
+    lines = t.lineitem.join(t.orders.select("o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    return lines.select(
         F.col("l_partkey").alias("film_id"), F.col("l_suppkey").alias("store_id"), standin.line_amount().alias("amount")
     )
 

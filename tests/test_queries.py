@@ -47,3 +47,16 @@ def test_every_sql_text_belongs_to_a_query():
 
 def test_entry_has_rows(spark):
     assert not entry_point.entry(spark).isEmpty()
+
+
+@pytest.mark.parametrize("name", ["sales_by_category", "sales_by_store"])
+def test_lines_without_an_order_are_no_sales(spark, data_dir, tmp_path, name):
+    con = duckdb.connect()
+    for table in ("lineitem", "orders", "part", "supplier", "nation", "region"):
+        path = f"{tmp_path}/{table}.parquet"
+        rest = "WHERE o_orderkey % 3 > 0" if table == "orders" else ""
+        con.execute(f"COPY (SELECT * FROM '{data_dir}/{table}.parquet' {rest}) TO '{path}' (FORMAT parquet)")
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{path}'")
+    df = QUERIES[name](spark, str(tmp_path))
+    cursor = con.execute(ORACLES[name])
+    assert counted(df.columns, df.collect()) == counted([d[0] for d in cursor.description], cursor.fetchall())
