@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from dimsmith.llm import byte_bpe, chat_format, decontaminate, filter_audit, language_id, license_scan, minhash_dedup, personal_data, quality_rules, repeats, secrets, vector_codes
+from dimsmith.llm import byte_bpe, chat_format, decontaminate, filter_audit, language_id, license_scan, metric_join, minhash_dedup, personal_data, quality_rules, repeats, secrets, vector_codes
 from dimsmith.llm.common import narrowed
 from dimsmith.session import settle
 
@@ -81,6 +81,10 @@ def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
     return filter_audit.audit(table(spark, folder, "documents"), table(spark, folder, "labels"))
 
 
+def op12_metric_join(spark: SparkSession, folder: str) -> DataFrame:
+    return metric_join.joined(table(spark, folder, "documents"), settle)
+
+
 def op13_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
     return vector_codes.digests(table(spark, folder, "embeddings"), settle)
 
@@ -90,7 +94,7 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op7_repeats, op8_minhash_dedup, op9_personal_data, op10_chat_format, op11_filter_audit, op13_vector_codes, pipeline)
+    f.__name__: f for f in (op1_quality_rules, op2_decontaminate, op3_secrets, op4_language_id, op5_byte_bpe, op6_license_scan, op7_repeats, op8_minhash_dedup, op9_personal_data, op10_chat_format, op11_filter_audit, op12_metric_join, op13_vector_codes, pipeline)
 }
 ORACLES: dict[str, str] = {"op6_license_scan": license_scan.sql(), "op11_filter_audit": filter_audit.sql()}
 
