@@ -1,11 +1,12 @@
-"""Exact row numbers, ranks and running totals that never put a large group into one task.
+"""Exact row numbers, ranks, running totals and carried values that never put a large group into one task.
 
 A window over one huge group (or over no group at all) sorts all its rows in one task.  Here
-the rows are first cut into ranges of ``(group, order)``.  A sample of bounded size gives the
-cut points, which then sit in the plan as constants, so the range of a row depends on nothing
-but its values and a re-run task produces the same result.  The window runs inside each range;
-groups that reach over a cut get the total of their earlier ranges added.  A cut lies inside at
-most one group, so that table of carried totals has at most two rows per cut.
+Spark first range-partitions the rows by ``(group, order)``, as for a global sort, and each row is
+written with the number of its range; so a re-run task reads the same ranges, their number has no
+limit, and groups of any size are cut evenly.  The window runs inside each range; groups that
+reach over a cut get what their earlier ranges carry over.  A range has at most two such groups,
+its first and its last, so that table grows with the ranges only, and Spark broadcasts it or not by
+its size.
 
 Small inputs (checked by counting) take the plain window. Values and their types are the same on
 both ways.
@@ -13,8 +14,7 @@ both ways.
 
 from __future__ import annotations
 
-import json
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -24,8 +24,6 @@ from pyspark.sql import types as T
 from dimsmith.session import settle
 
 ROWS_PER_RANGE = 500_000
-MAX_RANGES = 4096
-SAMPLE_PER_RANGE = 20
 RANGE = "__range"
 CARRY = "__carry"
 
@@ -52,8 +50,10 @@ class Measure:
     """One window result: how it looks inside a range and what a whole range contributes."""
 
     local: Column  # applied over the ordered window
-    total: Column  # aggregate of a whole range that later ranges add
+    total: Column  # aggregate of a whole range that later ranges carry on
     by_rows: bool = False  # frame: rows up to this one
+    carry: Callable[[Column], Column] = F.sum  # the totals of all earlier ranges, as one
+    join: Callable[[Column, Column], Column] = lambda here, earlier: F.coalesce(here + earlier, here, earlier)
 
 
 def row_number() -> Measure:
@@ -73,6 +73,13 @@ def running_sum(column: str) -> Measure:
     return Measure(F.sum(column), F.sum(column), by_rows=True)
 
 
+def last_known(column: str, order_by: Sequence[str]) -> Measure:
+    """The last value so far that is not NULL; ``order_by`` ascends and identifies a row within its group."""
+    at = F.struct(*[OrderTerm.parse(t).column for t in order_by])
+    total = F.max_by(column, F.when(F.col(column).isNotNull(), at))
+    return Measure(F.last(column, ignorenulls=True), total, True, lambda c: F.last(c, ignorenulls=True), F.coalesce)
+
+
 def ordered(
     df: DataFrame,
     order_by: Sequence[str],
@@ -88,23 +95,52 @@ def ordered(
     ranges; rows that tie on it always stay in one range, so ranks are exact as well (for many
     ties use :func:`rank_with_heavy_ties`).  ``size_of`` is a frame with at least as many rows
     as ``df`` that is cheap to count, such as the table ``df`` was grouped from; without it
-    ``df`` itself is counted.  A large ``df`` is read three times; unless it is ``stored``
-    (a table scan, cheap to read again) it is settled first.
+    ``df`` itself is counted.  A large ``df`` is run twice, for a sample and for its ranges, and
+    written once; a frame that is costly to run and not ``stored`` is settled first.
     """
     terms = [OrderTerm.parse(t) for t in order_by]
     if ranges is None:
-        rows = (df if size_of is None else size_of).count()
-        ranges = min(MAX_RANGES, max(1, rows // ROWS_PER_RANGE))
+        ranges = range_count(df if size_of is None else size_of)
     if ranges <= 1:
         return _windowed(df, list(partition_by), terms, measures)
 
-    source = df if stored else settle(df)
-    keys = [OrderTerm(c) for c in partition_by] + terms
-    cuts = _cut_points(source, keys, ranges)
-    marked = source.withColumn(RANGE, _range_of(keys, [_typed(source, k) for k in keys], cuts))
-    local = _windowed(marked, [RANGE, *partition_by], terms, measures)
-    carried = _carried(marked, list(partition_by), cuts, measures)
-    return _add_carried(local, carried, list(partition_by), measures).select(*df.columns, *measures)
+    by = list(partition_by)
+    marked = in_ranges(df if stored else settle(df), [OrderTerm(c) for c in by] + terms, ranges)
+    local = _windowed(marked, [RANGE, *by], terms, measures)
+    carried = settle(_carried(marked, by, measures))
+    return _add_carried(local, carried, by, measures).select(*df.columns, *measures)
+
+
+def in_ranges(df: DataFrame, keys: Sequence[OrderTerm], ranges: int) -> DataFrame:
+    """``df``, written once, with the number of each row's range in the order of ``keys``; equal keys share a range."""
+    return settle(df.repartitionByRange(ranges, *[k.sort() for k in keys]).withColumn(RANGE, F.spark_partition_id()))
+
+
+def range_count(rows: DataFrame) -> int:
+    """How many ranges the rows are cut into; 1 means the plain window."""
+    return max(1, -(-rows.count() // ROWS_PER_RANGE))
+
+
+def with_previous(
+    df: DataFrame,
+    order_by: Sequence[str],
+    values: dict[str, str],
+    partition_by: Sequence[str],
+    ranges: int | None = None,
+) -> DataFrame:
+    """Add, under new names, the values that columns have in the row before; NULL in the first row of a group.
+
+    ``order_by`` identifies a row within its group. Beyond one range, rows meet by their number
+    within the group, so a group of any size is spread like other rows.
+    """
+    if ranges is None:
+        ranges = range_count(df)
+    if ranges <= 1:
+        window = Window.partitionBy(*partition_by).orderBy(*[OrderTerm.parse(t).sort() for t in order_by])
+        return df.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
+    placed = settle(ordered(df, order_by, {"__place": row_number()}, partition_by, ranges))
+    before = placed.select(*partition_by, (F.col("__place") + 1).alias("__place"), *[F.col(c).alias(n) for n, c in values.items()])
+    return _null_safe_join(placed, before, [*partition_by, "__place"], "left").select(*df.columns, *values)
 
 
 def rank_with_heavy_ties(
@@ -143,87 +179,29 @@ def _windowed(
     return out.withColumns({n: F.col(n).cast("long") for n in measures if out.schema[n].dataType == T.IntegerType()})
 
 
-def _typed(df: DataFrame, term: OrderTerm) -> str:
-    return df.schema[term.column].dataType.simpleString()
-
-
-def _cut_points(df: DataFrame, keys: list[OrderTerm], ranges: int) -> list[tuple[str | None, ...]]:
-    """At most ``ranges - 1`` cut points, as text, from a sample of bounded expected size."""
-    rows = df.count()
-    wanted = ranges * SAMPLE_PER_RANGE
-    picked = df.select(*[k.column for k in keys])
-    if rows > wanted:
-        picked = picked.sample(fraction=wanted / rows, seed=17)
-    texts = picked.orderBy(*[k.sort() for k in keys]).select(*[F.col(k.column).cast("string") for k in keys])
-    sample = [tuple(r) for r in texts.collect()]
-    if not sample:
-        return []
-    chosen = [sample[i * len(sample) // ranges] for i in range(1, ranges)]
-    return list(dict.fromkeys(chosen))
-
-
-def _range_of(keys: list[OrderTerm], types: list[str], cuts: list[tuple[str | None, ...]]) -> Column:
-    """Number of cut points at or before a row, found by binary search.
-
-    The cut points are one constant array per key column, so the expression stays the same size
-    however many there are.
-    """
-    if not cuts:
-        return F.lit(0)
-    arrays = [
-        F.from_json(F.lit(json.dumps([cut[i] for cut in cuts])), "array<string>").cast(f"array<{kind}>")
-        for i, kind in enumerate(types)
-    ]
-    steps = [2**bit for bit in reversed(range(len(cuts).bit_length()))]
-
-    def advance(found: Column, step: Column) -> Column:
-        probe = found + step
-        point = [F.get(array, probe - 1) for array in arrays]
-        return F.when((probe <= len(cuts)) & ~_before(keys, point), probe).otherwise(found)
-
-    return F.aggregate(F.array(*[F.lit(step) for step in steps]), F.lit(0), advance)
-
-
-def _before(keys: list[OrderTerm], point: list[Column]) -> Column:
-    """Whether a row sorts before ``point``; never NULL. NULLs sort first ascending, last descending."""
-    result = F.lit(False)
-    for key, value in reversed(list(zip(keys, point))):
-        column = F.col(key.column)
-        if key.descending:
-            earlier = column.isNotNull() & (value.isNull() | (column > value))
-        else:
-            earlier = value.isNotNull() & (column.isNull() | (column < value))
-        result = earlier | (column.eqNullSafe(value) & result)
-    return result
-
-
-def _carried(
-    marked: DataFrame, partition_by: list[str], cuts: list[tuple[str | None, ...]], measures: dict[str, Measure]
-) -> DataFrame:
-    """What earlier ranges of the same group add, for the groups that reach over a cut."""
+def _carried(marked: DataFrame, partition_by: list[str], measures: dict[str, Measure]) -> DataFrame:
+    """What earlier ranges of the same group carry over, for the groups that reach over a cut."""
     rows = marked
-    if partition_by and cuts:
-        groups = list(dict.fromkeys(c[: len(partition_by)] for c in cuts))
-        plain = marked.sparkSession.createDataFrame(groups, ", ".join(f"g{i} string" for i in range(len(partition_by))))
-        split_groups = plain.select(
-            *[F.col(f"g{i}").cast(marked.schema[c].dataType).alias(c) for i, c in enumerate(partition_by)]
-        )
-        rows = _null_safe_join(marked, F.broadcast(split_groups), partition_by, "left_semi")
+    if partition_by:
+        group = F.struct(*partition_by)
+        edges = marked.groupBy(RANGE).agg(F.array(F.min(group), F.max(group)).alias("edges")).select(F.explode(F.array_distinct("edges")).alias("edge"))
+        # a group at the edge of two ranges or more reaches over a cut
+        split_groups = settle(edges.groupBy("edge").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("edge.*"))
+        rows = _null_safe_join(marked, split_groups, partition_by, "left_semi")
     totals = rows.groupBy(RANGE, *partition_by).agg(*[m.total.alias(f"__t_{n}") for n, m in measures.items()])
     earlier = Window.partitionBy(*partition_by).orderBy(RANGE).rowsBetween(Window.unboundedPreceding, -1)
     return totals.select(
-        RANGE, *partition_by, *[F.sum(f"__t_{n}").over(earlier).alias(f"{CARRY}_{n}") for n in measures]
+        RANGE, *partition_by, *[m.carry(f"__t_{n}").over(earlier).alias(f"{CARRY}_{n}") for n, m in measures.items()]
     )
 
 
 def _add_carried(
     local: DataFrame, carried: DataFrame, partition_by: list[str], measures: dict[str, Measure]
 ) -> DataFrame:
-    # At most two rows per cut, so broadcasting is bounded by MAX_RANGES.
-    joined = _null_safe_join(local, F.broadcast(carried), [RANGE, *partition_by], "left")
-    for name in measures:
-        here, earlier = F.col(name), F.col(f"{CARRY}_{name}")
-        joined = joined.withColumn(name, F.coalesce(here + earlier, here, earlier).cast(local.schema[name].dataType))
+    joined = _null_safe_join(local, carried, [RANGE, *partition_by], "left")
+    for name, measure in measures.items():
+        total = measure.join(F.col(name), F.col(f"{CARRY}_{name}"))
+        joined = joined.withColumn(name, total.cast(local.schema[name].dataType))
     return joined
 
 

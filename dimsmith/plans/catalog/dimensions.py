@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from dimsmith.functions import minute_of_day
-from dimsmith.operators import scd
+from dimsmith.operators import scd, timeline
+from dimsmith.operators.asof import carry_forward_lookup
 from dimsmith.operators.joins import point_in_time_lookup, union_all
 from dimsmith.plans import calendars, dimensions, standin
 from dimsmith.plans.catalog.registry import query
@@ -181,6 +182,48 @@ def scd2_same_day_change(t: Tables):
     return scd.scd2_upsert(stored_tiers(t), tier_snapshot(t, SECOND), "customer_id", TRACKED, FIRST, COLUMNS)
 
 
+BETWEEN = "1997-01-01"
+
+LATE_BATCH_SQL = f"""
+WITH {SCD2_CTES},
+points AS (
+  SELECT customer_dim_id, customer_id, name, segment, tier, valid_from FROM versions
+  UNION ALL SELECT NULL, customer_id, name, segment, tier, DATE '{BETWEEN}' FROM {tier_sql(BETWEEN)}),
+marked AS (
+  SELECT *, (lag(tier) OVER w IS DISTINCT FROM tier OR lag(name) OVER w IS DISTINCT FROM name OR lag(segment) OVER w IS DISTINCT FROM segment)::INT AS fresh
+  FROM points WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from)),
+runs AS (SELECT *, sum(fresh) OVER (PARTITION BY customer_id ORDER BY valid_from) AS run FROM marked),
+kept AS (
+  SELECT customer_id, run, min(customer_dim_id) AS customer_dim_id, any_value(name) AS name, any_value(segment) AS segment, any_value(tier) AS tier,
+    min(valid_from) AS valid_from FROM runs GROUP BY customer_id, run),
+spliced AS (
+  SELECT coalesce(customer_dim_id, (SELECT max(customer_dim_id) FROM versions) + row_number() OVER (PARTITION BY customer_dim_id IS NULL ORDER BY valid_from, customer_id)) AS customer_dim_id,
+    customer_id, name, segment, tier, valid_from, coalesce(lead(valid_from) OVER w - 1, DATE '9999-12-31') AS valid_to,
+    CASE WHEN lead(valid_from) OVER w IS NULL THEN 1 ELSE 0 END AS dim_active
+  FROM kept WINDOW w AS (PARTITION BY customer_id ORDER BY valid_from))"""
+
+
+def late_batch(t: Tables):
+    batch = tier_snapshot(t, BETWEEN).withColumn("as_of", F.lit(BETWEEN).cast("date"))
+    return timeline.scd2_splice(settle(tier_versions(t)), batch, "customer_id", TRACKED, "as_of", COLUMNS)
+
+
+@query("scd2_late_batch", f"{LATE_BATCH_SQL} SELECT {SHOWN} FROM spliced")
+def scd2_late_batch(t: Tables):
+    """The snapshot of a year that comes after the next one: its versions are placed between the stored ones."""
+    return late_batch(t)
+
+
+@query(
+    "scd2_late_invariants",
+    "SELECT unnest(['repeated_surrogate_key', 'several_open_versions', 'open_flag_and_end_disagree', 'start_after_end', "
+    "'overlapping_versions']) AS rule_name, 0 AS num_violations",
+)
+def scd2_late_invariants(t: Tables):
+    """Violations of each rule after the late batch."""
+    return scd.scd2_violations(settle(late_batch(t)), "customer_id", COLUMNS)
+
+
 @query(
     "scd2_invariants",
     "SELECT unnest(['repeated_surrogate_key', 'several_open_versions', 'open_flag_and_end_disagree', 'start_after_end', "
@@ -240,6 +283,14 @@ def asof_dim_join_sliced(t: Tables):
     return _orders_as_of(t, slice_by_year=True)
 
 
+@query("asof_dim_join_ordered", ASOF)
+def asof_dim_join_ordered(t: Tables):
+    """The same without comparing facts and versions: both in one order, cut into ranges, the last version carried on."""
+    orders = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    versions = tier_versions(t).withColumnRenamed("customer_id", "o_custkey")
+    return carry_forward_lookup(orders, versions, "o_custkey", "o_orderdate", ["customer_dim_id", "tier"], ranges=12).drop("o_orderdate")
+
+
 # --- entity, junk and conformed dimensions ---------------------------------------------------
 
 ADDRESS_SQL = (
@@ -300,7 +351,7 @@ FROM part JOIN casts ON p_partkey = l_partkey""",
 def dim_film(t: Tables):
     """Films with category, language and cast; keys start after 1000."""
     dim = dimensions.film_dimension(
-        standin.film(t), standin.film_category(t), standin.category(t), standin.language(t), standin.film_actor(t), standin.actor(t)
+        standin.film(t), standin.film_category(t), standin.category(t), standin.language(t), standin.film_actor(t), standin.actor(t), size_of=t.lineitem
     )
     return dim.withColumn("actors", F.array_join("actors", "|"))
 

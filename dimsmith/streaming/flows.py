@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from dimsmith.operators.dedup import latest_per_key
+from dimsmith.operators.dedup import first_per_key
 from dimsmith.sources.history import HistoryTable
 
 
@@ -53,24 +53,21 @@ def maintain_scd2(
 ) -> StreamingQuery:
     """Apply every micro-batch of snapshots to a type 2 dimension.
 
-    ``effective`` names the arrival column with the date a row takes effect; a batch may hold
-    several dates, which are applied in order.  Version 1 of ``table`` is ``first``, batch N
-    becomes version N + 2, so a batch that is run again after a failure either finds its version
-    published or publishes the same rows.
+    ``effective`` names the arrival column with the date a row takes effect. A batch may hold any
+    dates, those before a member's open version included, and takes the same jobs however many
+    they are; of several rows of a member and date the one greatest by its values counts. Version 1
+    of ``table`` is ``first``, batch N becomes version N + 2, so a batch that is run again after a
+    failure either finds its version published or publishes the same rows.
     """
     if not table.versions():
-        table.start(first)
+        table.start(first, key)
 
     def apply(batch: DataFrame, batch_id: int) -> None:
         if batch_id + 2 in table.versions():
             return
-        # One value per snapshot date in the batch.
-        days = batch.select(F.col(effective).cast("string").alias("d")).distinct().orderBy("d")
-        snapshots = []
-        for date in [row.d for row in days.collect()]:
-            rows = batch.filter(F.col(effective) == F.lit(date).cast("date"))
-            snapshots.append((date, latest_per_key(rows, [key], effective).drop(effective)))
-        table.apply(snapshots, key, tracked, version=batch_id + 2)
+        ties = [f"{c} desc" for c in batch.columns if c not in (key, effective)]
+        once = first_per_key(batch, [key, effective], ties)
+        table.apply_dated(once, key, tracked, effective, version=batch_id + 2)
 
     return arrivals.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(
         availableNow=True

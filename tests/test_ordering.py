@@ -83,12 +83,19 @@ def test_no_range_holds_most_of_a_hot_group(spark):
     """The cuts split one group that holds everything into even ranges."""
     df = spark.range(20_000).select(F.lit("hot").alias("g"), "id")
     keys = [ordering.OrderTerm("g"), ordering.OrderTerm("id")]
-    cuts = ordering._cut_points(df, keys, 10)
-    sizes = df.groupBy(ordering._range_of(keys, ["string", "bigint"], cuts).alias("r")).count().collect()
+    sizes = ordering.in_ranges(df, keys, 10).groupBy(ordering.RANGE).count().collect()
     assert len(sizes) == 10
     assert max(r["count"] for r in sizes) < 20_000 / 10 * 2
 
 
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_number_of_ranges_changes_nothing(rows, by):
+    measures = {"n": ordering.row_number(), "total": ordering.running_sum("v"), "seen": ordering.last_known("s", ["d", "id"])}
+    one, four, many = (ordering.ordered(rows, ["d", "id"], measures, by, ranges=k) for k in (1, 4, 5000))
+    assert one.dtypes == four.dtypes == many.dtypes
+    assert tuples(one, "id", *measures) == tuples(four, "id", *measures) == tuples(many, "id", *measures)
+
+
 def test_bad_direction():
     with pytest.raises(ValueError):
         ordering.OrderTerm.parse("a upwards")
