@@ -5,6 +5,8 @@ Everything is written below the session's shared folder, to a path no other run
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import functions as F
 
 from dimsmith.operators import quality
@@ -17,6 +19,7 @@ from dimsmith.sources import layout, readers, sinks
 from dimsmith.sources.history import HistoryTable
 from dimsmith.sources.readers import Tables
 from dimsmith.streaming import flows
+from dimsmith.streaming.weekly import WeeklyLedger, keep_weekly
 
 # --- layouts -----------------------------------------------------------------------------------
 
@@ -426,3 +429,31 @@ def stream_weekly(t: Tables):
     counts = flows.weekly_counts(arrivals, "ts", ["event_type"])
     flows.run(lambda: flows.write_weekly(counts, path, fresh_path(t.spark, "progress"), mode="complete"))
     return t.spark.read.parquet(path)
+
+
+LATE_FROM = "2024-01-12"
+
+
+@query(
+    "stream_weekly_late",
+    """
+WITH lots AS (SELECT *, CAST(date_trunc('week', ts) AS DATE) AS week, hour(ts) = 0 AS held FROM events),
+mark AS (SELECT max(ts) - INTERVAL 7 DAY AS at FROM lots WHERE NOT held)
+SELECT CAST(week AS VARCHAR) AS week_start, event_type, count(*) FILTER (NOT (held AND week + 7 <= mark.at)) AS on_time,
+  count(*) FILTER (held AND week + 7 <= mark.at) AS late
+FROM lots, mark GROUP BY 1, 2""",
+)
+def stream_weekly_late(t: Tables):
+    """Weeks closed on a stream whose midnight events arrive last: counted on time, and late ones apart."""
+    inbox, progress = fresh_path(t.spark, "event-inbox"), fresh_path(t.spark, "progress")
+    held = F.hour("ts") == 0
+    early = F.col("ts") < F.lit(LATE_FROM).cast("timestamp_ntz")
+    ledger = WeeklyLedger(t.spark, fresh_path(t.spark, "weekly-ledger"), t.events.schema, "ts", ["event_type"], datetime.timedelta(days=7))
+    for lot in (t.events.where(~held & early), t.events.where(~held & ~early), t.events.where(held)):
+        sinks.append(lot, inbox)
+        flows.run(lambda: keep_weekly(flows.arriving(t.spark, inbox, t.events.schema), ledger, progress))
+    ledger.flush()
+    late = ledger.late().groupBy(F.date_trunc("week", "ts").cast("date").alias("week_start"), "event_type").agg(F.count(F.lit(1)).alias("num_events"))
+    both = ledger.weeks().withColumn("part", F.lit("on_time")).unionByName(late.withColumn("part", F.lit("late")))
+    totals = {p: F.sum(F.when(F.col("part") == p, F.col("num_events")).otherwise(0)).alias(p) for p in ("on_time", "late")}
+    return both.groupBy("week_start", "event_type").agg(*totals.values())
