@@ -7,13 +7,13 @@ from pyspark.sql import functions as F
 from dimsmith.functions import overdue_days
 from dimsmith.operators.joins import union_all
 from dimsmith.operators.keys import next_key
+from dimsmith.operators.lists import ordered_array, ordered_text
 from dimsmith.operators.measures import list_chunks
 from dimsmith.plans import standin
 from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.dimensions import film_actors
 from dimsmith.plans.facts import standard_price_totals
 from dimsmith.plans.standin import MONEY
-from dimsmith.plans.views import listed
 from dimsmith.sources.layout import data_spread
 from dimsmith.sources.readers import Tables
 
@@ -116,7 +116,7 @@ def string_agg_ordered(t: Tables):
     """Suppliers of every part as one ordered text; titles are attached after the grouping."""
     pairs = t.lineitem.select("l_partkey", "l_suppkey").distinct()
     names = pairs.join(t.supplier.select("s_suppkey", "s_name"), F.col("l_suppkey") == F.col("s_suppkey"))
-    lists = names.groupBy("l_partkey").agg(listed("s_name", "; ").alias("suppliers"))
+    lists = ordered_text(names, ["l_partkey"], "s_name", "; ", "suppliers", size_of=t.lineitem)
     return lists.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_partkey", "p_name", "suppliers")
 
 
@@ -131,7 +131,30 @@ def group_concat_distinct(t: Tables):
     places = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
     pairs = t.lineitem.select("l_partkey", "l_suppkey").distinct()
     named = pairs.join(places, F.col("l_suppkey") == F.col("s_suppkey"))
-    return named.groupBy("l_partkey").agg(listed("n_name", distinct=True).alias("nations"))
+    return ordered_text(named, ["l_partkey"], "n_name", name="nations", distinct=True, size_of=t.lineitem)
+
+
+@query(
+    "string_agg_ranges",
+    """
+SELECT n_name, string_agg(DISTINCT c_name, '; ' ORDER BY c_name) AS customers FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1""",
+)
+def string_agg_ranges(t: Tables):
+    """Customers of every nation as one text, listed in ranges and put together in their order."""
+    named = t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
+    return ordered_text(named, ["n_name"], "c_name", "; ", "customers", distinct=True, ranges=6)
+
+
+@query(
+    "array_agg_ranges",
+    """
+SELECT o_orderstatus, count(*) AS num_orders, md5(string_agg(CAST(o_orderkey AS VARCHAR), '|' ORDER BY o_orderkey)) AS orders_md5
+FROM orders GROUP BY 1""",
+)
+def array_agg_ranges(t: Tables):
+    """All orders of a status, three hot groups, as one sorted array each, shown by its digest."""
+    arrays = ordered_array(t.orders, ["o_orderstatus"], "o_orderkey", "orders", ranges=9)
+    return arrays.select("o_orderstatus", F.size("orders").cast("long").alias("num_orders"), F.md5(F.array_join(F.col("orders").cast("array<string>"), "|")).alias("orders_md5"))
 
 
 @query(
@@ -157,7 +180,7 @@ FROM {CAST_LINES} JOIN supplier ON l_suppkey = s_suppkey GROUP BY 1""",
 )
 def array_agg_suppliers(t: Tables):
     """A sorted array per part, shown as text."""
-    arrays = film_actors(standin.film_actor(t), standin.actor(t))
+    arrays = film_actors(standin.film_actor(t), standin.actor(t), size_of=t.lineitem)
     return arrays.select("film_id", F.size("actors").cast("long").alias("num_actors"), F.array_join("actors", "|").alias("actors"))
 
 

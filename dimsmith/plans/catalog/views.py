@@ -55,13 +55,13 @@ FROM part JOIN casts ON p_partkey = l_partkey"""
 
 @query("film_list", FILM_LIST.format(name="replace(s_name, '#', ' ')"))
 def film_list(t: Tables):
-    return views.film_list(*films(t))
+    return views.film_list(*films(t), size_of=t.lineitem)
 
 
 @query("cased_film_list", FILM_LIST.format(name="replace(s_name, '#', '')"))
 def cased_film_list(t: Tables):
     """Names in name casing without a blank between the parts."""
-    return views.cased_film_list(*films(t))
+    return views.cased_film_list(*films(t), size_of=t.lineitem)
 
 
 @query(
@@ -77,7 +77,7 @@ FROM supplier LEFT JOIN info ON s_suppkey = l_suppkey""",
 def actor_info(t: Tables):
     """Titles per category of every actor, in two levels of lists."""
     film, film_category, category, film_actor, actor = films(t)
-    return views.actor_info(actor, film_actor, film, film_category, category)
+    return views.actor_info(actor, film_actor, film, film_category, category, size_of=t.lineitem)
 
 
 @query(

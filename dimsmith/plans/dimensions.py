@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from dimsmith.functions.text import clean_key, full_name
 from dimsmith.operators.dedup import latest_per_key
 from dimsmith.operators.keys import assign_surrogate_keys
+from dimsmith.operators.lists import ordered_array
 from dimsmith.operators.scd import OPEN_END, VersionColumns, scd2_initial
 from dimsmith.session import settle
 
@@ -74,10 +75,10 @@ def staff_dimension(staff: DataFrame, address: DataFrame, size_of: DataFrame | N
     )
 
 
-def film_actors(film_actor: DataFrame, actor: DataFrame, key: str = "film_id") -> DataFrame:
-    """Names of a film's actors as a sorted array."""
+def film_actors(film_actor: DataFrame, actor: DataFrame, key: str = "film_id", size_of: DataFrame | None = None) -> DataFrame:
+    """Names of a film's actors as a sorted array. ``size_of`` is as for :func:`ordering.ordered`."""
     names = film_actor.join(actor, "actor_id").select(key, full_name("first_name", "last_name").alias("__name"))
-    return names.groupBy(key).agg(F.sort_array(F.collect_list("__name")).alias("actors"))
+    return ordered_array(names, [key], "__name", "actors", size_of=film_actor if size_of is None else size_of)
 
 
 def film_dimension(
@@ -88,16 +89,18 @@ def film_dimension(
     film_actor: DataFrame,
     actor: DataFrame,
     carried: Sequence[str] = (),
+    size_of: DataFrame | None = None,
 ) -> DataFrame:
     """Films with category, language and the array of actors; films without actors are left out.
 
-    ``carried`` are further film columns to keep (such as ``special_features``).
+    ``carried`` are further film columns to keep (such as ``special_features``); ``size_of`` is a
+    table at least as long as the cast that is cheap to count.
     """
     films = (
         film.join(film_category.select("film_id", "category_id"), "film_id")
         .join(category.select("category_id", F.trim("name").alias("category_name")), "category_id")
         .join(language.select("language_id", F.trim("name").alias("language_name")), "language_id")
-        .join(film_actors(film_actor, actor), "film_id")
+        .join(film_actors(film_actor, actor, size_of=size_of), "film_id")
         .select(
             "film_id",
             F.trim("title").alias("title"),

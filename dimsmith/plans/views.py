@@ -6,12 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.functions.text import full_name, name_case
-
-
-def listed(value, separator: str = ", ", distinct: bool = False):
-    """Ordered, NULL-skipping text list. The group that is gathered is the text of the one result cell."""
-    word = "DISTINCT " if distinct else ""
-    return F.expr(f"listagg({word}{value}, '{separator}') WITHIN GROUP (ORDER BY {value})")
+from dimsmith.operators.lists import ordered_text
 
 
 def located(address: DataFrame, city: DataFrame, country: DataFrame) -> DataFrame:
@@ -50,10 +45,10 @@ def staff_list(staff: DataFrame, address: DataFrame, city: DataFrame, country: D
     )
 
 
-def _film_list(film, film_category, category, film_actor, actor, shown) -> DataFrame:
+def _film_list(film, film_category, category, film_actor, actor, shown, size_of) -> DataFrame:
     # A film without actors or category does not appear, so inner joins say it all.
     cast = film_actor.select("film_id", "actor_id").join(actor, "actor_id").select("film_id", shown.alias("__name"))
-    names = cast.groupBy("film_id").agg(listed("__name").alias("actors"))
+    names = ordered_text(cast, ["film_id"], "__name", name="actors", size_of=film_actor if size_of is None else size_of)
     return (
         film.join(film_category.select("film_id", "category_id"), "film_id")
         .join(category.select("category_id", F.col("name").alias("category")), "category_id")
@@ -71,18 +66,18 @@ def _film_list(film, film_category, category, film_actor, actor, shown) -> DataF
     )
 
 
-def film_list(film, film_category, category, film_actor, actor) -> DataFrame:
-    """Films with category and the list of actor names."""
-    return _film_list(film, film_category, category, film_actor, actor, full_name("first_name", "last_name"))
+def film_list(film, film_category, category, film_actor, actor, size_of: DataFrame | None = None) -> DataFrame:
+    """Films with category and the list of actor names. ``size_of`` is a table at least as long as the cast that is cheap to count."""
+    return _film_list(film, film_category, category, film_actor, actor, full_name("first_name", "last_name"), size_of)
 
 
-def cased_film_list(film, film_category, category, film_actor, actor) -> DataFrame:
+def cased_film_list(film, film_category, category, film_actor, actor, size_of: DataFrame | None = None) -> DataFrame:
     """As :func:`film_list`, with each name part in name casing and no blank between the parts."""
     shown = F.concat(name_case("first_name"), name_case("last_name"))
-    return _film_list(film, film_category, category, film_actor, actor, shown)
+    return _film_list(film, film_category, category, film_actor, actor, shown, size_of)
 
 
-def actor_info(actor, film_actor, film, film_category, category) -> DataFrame:
+def actor_info(actor, film_actor, film, film_category, category, size_of: DataFrame | None = None) -> DataFrame:
     """Per actor the titles grouped by category: ``Drama: A, B, Horror: C``.
 
     Titles are listed per actor and category first, then the categories per actor.
@@ -93,9 +88,10 @@ def actor_info(actor, film_actor, film, film_category, category) -> DataFrame:
         .join(film_category.select("film_id", "category_id"), "film_id")
         .join(category.select("category_id", "name"), "category_id")
     )
-    per_category = played.groupBy("actor_id", "name").agg(listed("title").alias("__titles"))
+    size_of = film_actor if size_of is None else size_of
+    per_category = ordered_text(played, ["actor_id", "name"], "title", name="__titles", size_of=size_of)
     entries = per_category.select("actor_id", F.concat("name", F.lit(": "), "__titles").alias("__entry"))
-    info = entries.groupBy("actor_id").agg(listed("__entry").alias("film_info"))
+    info = ordered_text(entries, ["actor_id"], "__entry", name="film_info", size_of=size_of)
     return actor.select("actor_id", "first_name", "last_name").join(info, "actor_id", "left")
 
 
