@@ -1,4 +1,10 @@
-"""Walking a parent-child table from its roots."""
+"""Walking a parent-child table from its roots, by pointer doubling.
+
+Each row starts as a link from a member to its parent. A round joins the links with themselves, so
+links reach twice as far, and with the members that have met their root. The number of rounds
+grows with the logarithm of the depth, not with the depth, and the table is read once. A parent of very
+many children is a hot key on one side of a join whose other side has one row for it.
+"""
 
 from __future__ import annotations
 
@@ -8,27 +14,45 @@ from pyspark.sql import functions as F
 from dimsmith.session import settle
 
 
-def descend(edges: DataFrame, child: str, parent: str, max_levels: int = 1000, settle_every: int = 8) -> DataFrame:
+def descend(edges: DataFrame, child: str, parent: str, max_levels: int | None = None) -> DataFrame:
     """All members with their level (roots have 0) and root.
 
-    Roots are rows whose parent is NULL.  Each level is one join of the newest members with the
-    table, the level-by-level meaning of a recursive query; lineage is cut every few levels.
-    A member on a cycle is never reached from a root and does not appear.
+    Roots are rows whose parent is NULL. A member has one row for each path to a root, as in a recursive
+    query, so one row where each has one parent. Members whose parent is no member, and those on or
+    below a cycle, reach no root and do not appear; see :func:`unrooted`. There is no limit to the
+    depth; a hierarchy deeper than ``max_levels``, if given, is a ValueError.
     """
-    pairs = edges.select(F.col(child).alias("member"), F.col(parent).alias("__parent"))
-    frontier = pairs.filter(F.col("__parent").isNull()).select(
-        "member", F.lit(0).alias("level"), F.col("member").alias("root")
-    )
-    linked = pairs.filter(F.col("__parent").isNotNull())
-    frontier = settle(frontier)
-    reached = frontier
-    for level in range(1, max_levels + 1):
-        newest = frontier.select(F.col("member").alias("__parent"), "root")
-        frontier = linked.join(newest, "__parent").select("member", F.lit(level).alias("level"), "root")
-        frontier = settle(frontier)
-        if frontier.isEmpty():
-            return reached
-        reached = reached.unionByName(frontier)
-        if level % settle_every == 0:
-            reached = settle(reached)
-    raise ValueError(f"hierarchy is deeper than {max_levels} levels")
+    rooted = _doubled(edges, child, parent)[0].withColumn("level", F.col("level").cast("int"))
+    if max_levels is not None and not rooted.filter(F.col("level") > max_levels).isEmpty():
+        raise ValueError(f"hierarchy is deeper than {max_levels} levels")
+    return rooted
+
+
+def unrooted(edges: DataFrame, child: str, parent: str) -> DataFrame:
+    """(member, on_cycle): members of a table with one parent each that reach no root.
+
+    ``on_cycle`` is false of members below a cycle, or below a parent that is no member.
+    """
+    reached, endless = _doubled(edges, child, parent)
+    members = edges.select(F.col(child).alias("member")).distinct()
+    missing = members.join(reached.select(F.col("member").alias("__its")), F.col("member") == F.col("__its"), "left_anti")
+    # Steps beyond the number of members end on a cycle, and from a cycle they reach all of it.
+    cycle = endless.select(F.col("up").alias("__its")).distinct().withColumn("__cycle", F.lit(True))
+    return missing.join(cycle, F.col("member") == F.col("__its"), "left").select("member", F.coalesce("__cycle", F.lit(False)).alias("on_cycle"))
+
+
+def _doubled(edges: DataFrame, child: str, parent: str) -> tuple[DataFrame, DataFrame]:
+    """Rooted members (member, level, root), and links (member, up, steps) that are longer than any path without a cycle."""
+    pairs = settle(edges.select(F.col(child).alias("member"), F.col(parent).alias("up")))
+    members = pairs.count()
+    rooted = pairs.filter("up is null").select("member", F.lit(0).cast("long").alias("level"), F.col("member").alias("root"))
+    links = settle(pairs.filter("up is not null").select("member", "up", F.lit(1).cast("long").alias("steps")))
+    reach = 1
+    while not links.isEmpty() and reach <= members:
+        ends = rooted.select(F.col("member").alias("__its"), F.col("level").alias("__level"), "root")
+        met = links.join(ends, F.col("up") == F.col("__its")).select("member", (F.col("steps") + F.col("__level")).alias("level"), "root")
+        further = links.select(F.col("member").alias("__its"), F.col("up").alias("__up"), F.col("steps").alias("__steps"))
+        on = links.join(further, F.col("up") == F.col("__its")).select("member", F.col("__up").alias("up"), (F.col("steps") + F.col("__steps")).alias("steps"))
+        rooted, links = settle(rooted.unionByName(met)), settle(on)
+        reach *= 2
+    return rooted, links

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from dimsmith.functions.text import clean_key
 from dimsmith.operators import joins
-from dimsmith.operators.hierarchy import descend
+from dimsmith.operators.hierarchy import descend, unrooted
 from dimsmith.operators.keys import assign_surrogate_keys
+from dimsmith.operators.ordering import with_previous
 from dimsmith.plans.calendars import date_attributes, weekday_name
 from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.standin import MONEY
@@ -429,6 +431,32 @@ def hierarchy_levels(t: Tables):
     return descend(table, "member", "parent")
 
 
+@query("hierarchy_chain", "SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) - 1 AS level FROM orders")
+def hierarchy_chain(t: Tables):
+    """Every order below the one before it: one chain as deep as the table is long."""
+    chain = with_previous(t.orders.select("o_orderkey"), ["o_orderkey"], {"before": "o_orderkey"}, [])
+    return descend(chain, "o_orderkey", "before").select(F.col("member").alias("o_orderkey"), F.col("level").cast("long").alias("level"))
+
+
+@query(
+    "hierarchy_cycles",
+    """
+WITH edges AS (
+  SELECT 'S' || s_suppkey AS member, 'S' || coalesce(lead(s_suppkey) OVER (PARTITION BY s_nationkey ORDER BY s_suppkey), min(s_suppkey) OVER (PARTITION BY s_nationkey)) AS parent, true AS on_cycle FROM supplier
+  UNION ALL SELECT 'C' || c_custkey, 'S' || (SELECT min(s_suppkey) FROM supplier WHERE s_nationkey = c_nationkey), false FROM customer)
+SELECT member, on_cycle FROM edges WHERE parent IS NOT NULL""",
+)
+def hierarchy_cycles(t: Tables):
+    """Suppliers in a ring per nation with the nation's customers below: none has a root, and the rings are told apart."""
+    in_nation = Window.partitionBy("s_nationkey")
+    first = t.supplier.groupBy(F.col("s_nationkey").alias("nation")).agg(F.min("s_suppkey").alias("first"))
+    following = F.coalesce(F.lead("s_suppkey").over(in_nation.orderBy("s_suppkey")), F.min("s_suppkey").over(in_nation))
+    name = lambda letter, key: F.concat(F.lit(letter), F.col(key).cast("string"))
+    ring = t.supplier.select("s_suppkey", following.alias("next")).select(name("S", "s_suppkey").alias("member"), name("S", "next").alias("parent"))
+    below = t.customer.join(first, F.col("c_nationkey") == F.col("nation"), "left").select(name("C", "c_custkey").alias("member"), name("S", "first").alias("parent"))
+    return unrooted(ring.unionByName(below), "member", "parent")
+
+
 @query("top_k_orders", "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 25")
 def top_k_orders(t: Tables):
     """Sort and first rows: every task keeps its own top 25."""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from dimsmith.operators import joins, measures, quality
 from dimsmith.operators.dedup import top_per_group
-from dimsmith.operators.hierarchy import descend
+from dimsmith.operators.hierarchy import descend, unrooted
 from tests.conftest import tuples
 
 
@@ -210,10 +210,26 @@ def test_quality_checks(spark):
 
 
 def test_descend_deep_and_cyclic(spark):
-    chain = [(0, None)] + [(i, i - 1) for i in range(1, 20)]
-    edges = spark.createDataFrame(chain + [(100, 101), (101, 100)], "c int, p int")
-    got = descend(edges, "c", "p", settle_every=4)
-    assert tuples(got) == [(i, i, 0) for i in sorted(range(20), key=lambda i: repr((i, i, 0)))]
+    """A chain of 30 below a root, a ring with members below it, a missing parent, two paths to one member."""
+    chain = [(i, i - 1 if i else None) for i in range(30)]
+    ring = [(100, 102), (101, 100), (102, 101), (103, 102), (104, 103), (105, 105), (106, 999)]
+    edges = spark.createDataFrame(chain + ring, "c int, p int")
+    got = descend(edges, "c", "p")
+    assert tuples(got) == [(i, i, 0) for i in sorted(range(30), key=lambda i: repr((i, i, 0)))]
+    assert list(itertools.islice(got.columns, 3)) == ["member", "level", "root"]
     with pytest.raises(ValueError):
         descend(edges, "c", "p", max_levels=5)
-    assert list(itertools.islice(got.columns, 3)) == ["member", "level", "root"]
+    assert tuples(unrooted(edges, "c", "p")) == [(100, True), (101, True), (102, True), (103, False), (104, False), (105, True), (106, False)]
+    paths = spark.createDataFrame([(1, None), (2, 1), (3, 1), (4, 2), (4, 3)], "c int, p int")
+    assert tuples(descend(paths, "c", "p")) == [(1, 0, 1), (2, 1, 1), (3, 1, 1), (4, 2, 1), (4, 2, 1)]
+    assert descend(edges.limit(0), "c", "p").count() == 0
+
+
+def test_descend_a_chain_of_a_hundred_thousand(spark):
+    """Rounds grow with the logarithm of the depth; three joins of each are no more than twenty rounds."""
+    chain = spark.range(100_000).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("p"))
+    spark.sparkContext.setJobGroup("chain", "chain")
+    got = descend(chain, "id", "p")
+    assert got.where(F.col("level") != F.col("member")).count() == 0 and got.count() == 100_000
+    spark.sparkContext.setJobGroup("", "")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) < 20 * 12
