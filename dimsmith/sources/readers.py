@@ -99,27 +99,56 @@ def read_csv_inferred(spark: SparkSession, path: str) -> DataFrame:
 
 def read_dump(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     r"""A tab-separated database dump: ``\N`` is NULL, ``\t``, ``\n``, ``\\`` and the like are decoded,
-    and a line ``\.`` ends the data.
+    octal and hexadecimal bytes (``\101``, ``\x41``) too, and a line ``\.`` ends the data of its file.
 
-    Empty text stays empty text. Blank lines, such as those after the end mark, are no rows. A line
-    with fewer fields than ``schema`` fails the job.
+    Empty text stays empty text. In a table of one column an empty line is a row with empty text,
+    up to the end mark; in others empty lines are no rows. A line with fewer fields than ``schema``
+    fails the job.
     """
-    lines = spark.read.text(path).filter((F.col("value") != "\\.") & (F.col("value") != ""))
+    lines = spark.read.text(path)
+    if len(schema) == 1:
+        lines = _before_end_mark(lines)
+    else:
+        lines = lines.filter((F.col("value") != "\\.") & (F.col("value") != ""))
     fields = lines.select(F.split("value", "\t", -1).alias("f"))
     texts = fields.select(*[_unescaped(F.element_at("f", i + 1)).alias(x.name) for i, x in enumerate(schema)])
     return texts.select(*[_from_text(x) for x in schema])
 
 
+def _before_end_mark(lines: DataFrame) -> DataFrame:
+    """The lines of each file up to its end mark, by their places in the file."""
+    place = F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line"))
+    placed = lines.select("value", F.col("_metadata.file_path").alias("file"), place.alias("place"))
+    # One row per file at most.
+    marks = placed.filter(F.col("value") == "\\.").groupBy(F.col("file").alias("its")).agg(F.min("place").alias("end"))
+    joined = placed.join(F.broadcast(marks), F.col("file") == F.col("its"), "left")
+    return joined.filter(F.col("end").isNull() | (F.col("place") < F.col("end"))).select("value")
+
+
 #: What stands after a backslash for a control character in a dump; any other character stands for itself.
 ESCAPES = {"b": "\b", "f": "\f", "n": "\n", "r": "\r", "t": "\t", "v": "\v"}
+#: A byte as one or two hexadecimal digits, or as one to three octal ones.
+BYTE = r"\\x[0-9A-Fa-f]{1,2}|\\[0-7]{1,3}"
 
 
 def _unescaped(field: Column) -> Column:
-    def decoded(part: Column) -> Column:
+    def characters(part: Column) -> Column:
         for letter, character in ESCAPES.items():
             part = F.replace(part, F.lit(f"\\{letter}"), F.lit(character))
         return F.replace(part, F.lit("\\"), F.lit(""))
 
+    def one_byte(found: Column) -> Column:
+        octal = F.hex(F.conv(F.substring(found, F.lit(2), F.length(found)), 8, 10).cast("int") % 256)
+        digits = F.when(F.substring(found, 2, 1) == "x", F.substring(found, F.lit(3), F.length(found))).otherwise(octal)
+        return F.lpad(digits, 2, "0")
+
+    def decoded(part: Column) -> Column:
+        # Bytes may be parts of one character, so they meet as bytes.
+        texts = F.transform(F.split(part, BYTE, -1), lambda x: F.hex(F.encode(characters(x), "UTF-8")))
+        found = F.transform(F.regexp_extract_all(part, F.lit(BYTE), F.lit(0)), one_byte)
+        pairs = F.transform(F.arrays_zip(texts.alias("t"), found.alias("b")), lambda x: F.concat(x["t"], F.coalesce(x["b"], F.lit(""))))
+        return F.when(part.rlike(BYTE), F.decode(F.unhex(F.array_join(pairs, "")), "UTF-8")).otherwise(characters(part))
+
     # What lies between pairs of backslashes has single ones only.
     plain = F.array_join(F.transform(F.split(field, r"\\\\", -1), decoded), "\\")
     return F.when(field == "\\N", None).when(field.contains("\\"), plain).otherwise(field)

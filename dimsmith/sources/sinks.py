@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from dimsmith.functions.compare import any_changed
-from dimsmith.sources import paths
+from dimsmith.sources import layout, paths
 
 
 def append(df: DataFrame, path: str, partition_by: str | None = None) -> None:
@@ -152,8 +152,8 @@ class StagingTable:
         writer.option("partitionOverwriteMode", "dynamic").parquet(self.path)
 
     def read(self) -> DataFrame:
-        rows = self.spark.read.parquet(self.path)
-        return rows.withColumn("load_date", F.col("load_date").cast("string"))
+        """All loads; load times stay the text they were given as."""
+        return layout.read_all(self.spark, self.path, "load_date")
 
 
 def stamped(snapshot: DataFrame, load_date: str, column: str = "load_date") -> DataFrame:

@@ -190,3 +190,27 @@ def test_partition_values_stay_text(spark):
     assert tuples(layout.read_all(spark, path, "part_value"), "k", "part_value") == [(1, "01"), (2, "02"), (3, "1"), (4, "other")]
     assert tuples(layout.read_partition(spark, path, "part_value", "01"), "k") == [(1,)]
     assert tuples(layout.read_partition(spark, path, "part_value", 1), "k") == [(3,)]
+
+
+def test_one_column_dump_keeps_empty_rows(spark, tmp_path):
+    rows = [("",), ("a",), (None,), ("",), ("\\",), ("\t",)]
+    df = spark.createDataFrame(rows, "v string")
+    sinks.write_text(df, f"{tmp_path}/one", null_text="\\N")
+    assert sorted(readers.read_dump(spark, f"{tmp_path}/one", df.schema).collect(), key=repr) == sorted(df.collect(), key=repr)
+    (tmp_path / "ended.dump").write_text("a\n\nb\n\\.\n\n\nc\n")
+    (tmp_path / "open.dump").write_text("\nz\n")
+    assert sorted(r.v for r in readers.read_dump(spark, f"{tmp_path}/*.dump", df.schema).collect()) == ["", "", "a", "b", "z"]
+
+
+def test_bytes_in_a_dump(spark, tmp_path):
+    (tmp_path / "bytes.dump").write_text("1\t\\101\\x42\\103x\n2\t\\303\\251\\xC3\\xA9 \\\\101 \\\\x41\n3\t\\0611\\x4Z\\n\\q\n")
+    schema = spark.createDataFrame([], "k int, v string").schema
+    got = {r.k: r.v for r in readers.read_dump(spark, str(tmp_path / "bytes.dump"), schema).collect()}
+    assert got == {1: "ABCx", 2: "éé \\101 \\x41", 3: "11\x04Z\nq"}
+
+
+def test_load_times_stay_text(spark, tmp_path):
+    staging = sinks.StagingTable(spark, f"{tmp_path}/staged")
+    for load in ("2024-01-01 00:00:00", "2024-01-01 00:00:00.0", "007"):
+        staging.load(spark.range(1), load)
+    assert sorted(r.load_date for r in staging.read().collect()) == ["007", "2024-01-01 00:00:00", "2024-01-01 00:00:00.0"]
