@@ -21,7 +21,7 @@ from dimsmith.functions.dates import (
     year_month,
     year_quarter,
 )
-from dimsmith.functions.text import clean_key, full_name, money, name_case, search_tokens, text_array
+from dimsmith.functions.text import clean_key, full_name, money, name_case, search_tokens, text_array, unreadable_money
 
 __all__ = [
     "any_changed",
@@ -45,6 +45,7 @@ __all__ = [
     "quarter_label",
     "search_tokens",
     "text_array",
+    "unreadable_money",
     "week_end",
     "week_start",
     "year_month",

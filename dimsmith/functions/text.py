@@ -16,10 +16,15 @@ def money(text: ColumnLike, symbol: str = "$") -> Column:
     Commas count as separators only where they part groups of three digits.
     """
     plain = F.replace(as_column(text), F.lit(symbol), F.lit(""))
-    grouped = plain.rlike(r"^\s*[+-]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]*)?\s*$")
+    grouped = plain.contains(",") & plain.rlike(r"^\s*[+-]?[0-9]{1,3}(,[0-9]{3})+(\.[0-9]*)?\s*$")
     return F.when(grouped, F.replace(plain, F.lit(","), F.lit(""))).otherwise(plain).try_cast(MONEY_TYPE)
 
 
+def unreadable_money(text: ColumnLike, symbol: str = "$") -> Column:
+    """Whether a text that is there is no amount, so that :func:`money` loses it. Never NULL."""
+    return as_column(text).isNotNull() & money(text, symbol).isNull()
+
+
 def clean_key(value: ColumnLike) -> Column:
     """Comparable text form of a key that one source keeps as text and another as a number."""
     return F.trim(as_column(value).cast("string"))

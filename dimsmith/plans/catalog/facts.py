@@ -80,6 +80,50 @@ def fact_rejects(t: Tables):
     return rejects.select("rental_id", "film_id", "store_id", "missing_in")
 
 
+@query(
+    "fact_amount_rejects",
+    """
+SELECT l_orderkey AS rental_id, l_linenumber AS payment_id, 'waived' AS amount, 'amount' AS missing_in
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'R' AND l_linenumber = 7
+UNION ALL
+SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'R' AND l_linenumber = 7 THEN 'waived' ELSE
+  '$' || CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))), 2) AS DECIMAL(18,2)) END, 'film'
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey WHERE p_type = 'PROMO'""",
+)
+def fact_amount_rejects(t: Tables):
+    """Lines whose amount is no number, which a sum would leave out unseen, beside those without a film."""
+    dims = star(t)
+    promo = t.part.select(F.col("p_partkey").alias("film_id"), (F.col("p_type") != "PROMO").alias("dim_active"))
+    dims = replace(dims, film=dims.film.join(promo, "film_id"))
+    waived = (F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7)
+    lines = standin.rental_lines(t, amount_as_text=True, waived=waived)
+    rejects = facts.rejected_lines(lines, dims, ("film",), amount_text="amount")
+    return rejects.select("rental_id", "payment_id", "amount", "missing_in")
+
+
+@query(
+    "fact_lookup_descriptive",
+    """
+SELECT l_orderkey AS rental_id, l_linenumber AS payment_id, customer_dim_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN (SELECT c_custkey, c_mktsegment, row_number() OVER (ORDER BY c_custkey) AS customer_dim_id FROM customer) ON o_custkey = c_custkey
+WHERE NOT (c_mktsegment = 'MACHINERY' AND o_orderstatus = 'F')""",
+)
+def fact_lookup_descriptive(t: Tables):
+    """Customers matched on id, names and address together: orders that carry an earlier name find nobody."""
+    people = standin.customer(t)
+    dims = replace(star(t), customer=star(t).customer.join(people, "customer_id"))
+    names = people.select("customer_id", F.col("first_name").alias("customer_first_name"), F.col("last_name").alias("customer_last_name"), F.col("email").alias("customer_email"))
+    stale = (F.col("c_mktsegment") == "MACHINERY") & (F.col("o_orderstatus") == "F")
+    orders = t.orders.join(t.customer, F.col("o_custkey") == F.col("c_custkey")).select(F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("customer_id"), stale.alias("stale"))
+    named = orders.join(names, "customer_id").withColumn("customer_last_name", F.when(F.col("stale"), F.lit("FORMER")).otherwise(F.col("customer_last_name")))
+    match = {"customer": {"customer_id": "customer_id", "customer_first_name": "first_name", "customer_last_name": "last_name", "customer_email": "email"}}
+    # Per order, before the lines multiply it.
+    found = facts.resolve(named, dims, ("customer",), match=match)
+    lines = t.lineitem.select(F.col("l_orderkey").alias("rental_id"), F.col("l_linenumber").alias("payment_id"))
+    return lines.join(found.select("rental_id", "customer_dim_id"), "rental_id").select("rental_id", "payment_id", "customer_dim_id")
+
+
 WEEK = "CAST(isoyear(rental_date) * 100 + week(rental_date) AS INTEGER)"
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from dimsmith.operators import quality
 from dimsmith.operators.joins import union_all
 from dimsmith.operators.scd import VersionColumns, scd2_initial
+from dimsmith.operators.summaries import SummaryView, distinct_sketches, merged_distinct
 from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.standin import MONEY, tier_snapshot
 from dimsmith.session import fresh_path
@@ -431,6 +432,45 @@ def stream_weekly(t: Tables):
     return t.spark.read.parquet(path)
 
 
+@query(
+    "materialized_view_incremental",
+    """
+SELECT o_orderstatus, o_orderpriority, count(*) AS num_rows, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2)) * (CASE WHEN o_orderstatus = 'O' THEN 2 ELSE 1 END)) AS DOUBLE) AS sum_price
+FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2""",
+)
+def materialized_view_incremental(t: Tables):
+    """Sums kept by changes alone: later orders come in, one status goes, another one's prices are updated."""
+    orders = t.orders.select("o_orderstatus", "o_orderpriority", "o_orderdate", F.col("o_totalprice").cast(MONEY).alias("price"))
+    view = SummaryView(t.spark, fresh_path(t.spark, "order-summary"), ["o_orderstatus", "o_orderpriority"], ["price"])
+    early = F.col("o_orderdate") < F.lit("1996-01-01").cast("timestamp_ntz")
+    view.rebuild(orders.where(early))
+    view.apply(inserted=orders.where(~early))
+    view.apply(deleted=orders.where("o_orderstatus = 'P'"))
+    old = orders.where("o_orderstatus = 'O'")
+    view.apply(inserted=old.withColumn("price", (F.col("price") * 2).cast(MONEY)), deleted=old)
+    return view.read()
+
+
+@query(
+    "distinct_by_sketches",
+    """
+SELECT CAST(year(o_orderdate) AS VARCHAR) AS grain, count(DISTINCT o_custkey) AS num_exact, true AS within FROM orders GROUP BY 1
+UNION ALL SELECT 'all', count(DISTINCT o_custkey), true FROM orders""",
+)
+def distinct_by_sketches(t: Tables):
+    """Customers per year and in all from stored monthly sketches, held against exact counts: within four standard errors."""
+    month = F.trunc(F.to_date("o_orderdate"), "MM").alias("month")
+    path = fresh_path(t.spark, "monthly-sketches")
+    sinks.overwrite(distinct_sketches(t.orders, [month], "o_custkey"), path)
+    stored = t.spark.read.parquet(path)
+    year = F.year("month").cast("string").alias("grain")
+    estimates = merged_distinct(stored, [year]).unionByName(merged_distinct(stored, [F.lit("all").alias("grain")]))
+    exact = t.orders.groupBy(F.year("o_orderdate").cast("string").alias("grain")).agg(F.count_distinct("o_custkey").alias("num_exact"))
+    exact = exact.unionByName(t.orders.agg(F.count_distinct("o_custkey").alias("num_exact")).select(F.lit("all").alias("grain"), "num_exact"))
+    off = F.abs(F.col("num_distinct") - F.col("num_exact")) / F.col("num_exact")
+    return exact.join(estimates, "grain").select("grain", "num_exact", (off <= 4 * 0.0065).alias("within"))
+
+
 LATE_FROM = "2024-01-12"
 
 

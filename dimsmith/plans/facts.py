@@ -64,16 +64,22 @@ def rejected_lines(
     dims: Dimensions,
     names: Sequence[str] = ("customer", "staff", "film", "store"),
     match: Mapping[str, Mapping[str, str]] | None = None,
+    amount_text: str | None = None,
 ) -> DataFrame:
     """The lines :func:`resolve` drops, once per dimension that does not know them (``missing_in``).
 
-    The lines are computed once and carried through all lookups.
+    With ``amount_text``, the column of the amounts as the source wrote them, also the lines whose
+    amount cannot be read, missing in ``amount``. The lines are computed once and carried through all
+    lookups.
     """
     rows = lines
     for name in names:
         dim = getattr(dims, name)
         rows = lookup(rows, dim, _matched(name, match), f"{name}_dim_id", is_active(dim), keep_misses=True)
-    missing = F.array_compact(F.array(*[F.when(F.col(f"{n}_dim_id").isNull(), F.lit(n)) for n in names]))
+    reasons = [F.when(F.col(f"{n}_dim_id").isNull(), F.lit(n)) for n in names]
+    if amount_text:
+        reasons.append(F.when(fn.unreadable_money(amount_text), F.lit("amount")))
+    missing = F.array_compact(F.array(*reasons))
     return rows.select(*lines.columns, F.explode(missing).alias("missing_in"))
 
 

@@ -10,9 +10,10 @@ p_brand -> language, nation -> address and city, region -> country, distinct (pa
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimsmith.operators.joins import splittable
 from dimsmith.plans.facts import Dimensions, resolve
 from dimsmith.sources.readers import Tables
 
@@ -144,13 +145,17 @@ def line_amount():
     return F.round(net, 2).cast(MONEY)
 
 
-def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | None = None) -> DataFrame:
+def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | None = None, waived: Column | None = None) -> DataFrame:
     """One row per order line: taken on the order date, returned on the ship date, paid on the order date.
 
-    ``amount_as_text`` writes amounts the way the rental source does, with a leading ``$``.
-    With ``dims`` the customer's surrogate key is looked up per order, before the lines multiply it.
+    ``amount_as_text`` writes amounts the way the rental source does, with a leading ``$``; those
+    of ``waived`` lines as a word. With ``dims`` every surrogate key is looked up where it costs
+    least: customers per order, before the lines multiply it, films and the supplier's two roles
+    on the lines while they are narrow, and both roles in one lookup.
     """
     amount = F.concat(F.lit("$"), line_amount().cast("string")) if amount_as_text else line_amount()
+    if waived is not None:
+        amount = F.when(waived, F.lit("waived")).otherwise(amount)
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("rental_id"),
         F.col("l_linenumber").alias("payment_id"),
@@ -165,8 +170,13 @@ def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | Non
         F.col("o_custkey").alias("customer_id"),
         F.col("o_orderdate").alias("rental_date"),
     )
+    found = []
     if dims is not None:
         orders = resolve(orders, dims, ("customer",))
+        roles = dims.staff.join(dims.store, F.col("staff_id") == F.col("store_id")).select("store_id", "staff_dim_id", "store_dim_id")
+        lines = lines.join(splittable(roles), "store_id")
+        lines = resolve(lines, dims, ("film",))
+        found = ["customer_dim_id", "staff_dim_id", "film_dim_id", "store_dim_id"]
     return lines.join(orders, "rental_id").select(
         "rental_id",
         "payment_id",
@@ -181,7 +191,7 @@ def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | Non
         F.col("rental_date").alias("payment_date"),
         "amount",
         F.col("return_date").alias("last_update"),
-        *(["customer_dim_id"] if dims is not None else []),
+        *found,
     )
 
 
