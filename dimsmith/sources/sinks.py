@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import time
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -105,15 +107,46 @@ class VersionedTable:
             raise FileNotFoundError(f"no complete version below {self.path}")
         return self.spark.read.parquet(f"{self.path}/version={version}")
 
+    def _claim(self, version: int) -> bool:
+        return paths.claim(self.spark, f"{self.path}/_claims/version={version}")
+
     def write(self, df: DataFrame, version: int | None = None) -> int:
-        """Publish ``df`` as the next version, or as ``version`` (overwriting a broken attempt)."""
+        """Publish ``df`` as the next version that no other writer has claimed, or as ``version`` (overwriting a broken attempt).
+
+        A state computed from the current one belongs in :meth:`update`.
+        """
         if version is None:
             version = (self.current() or 0) + 1
+            while not self._claim(version):
+                version += 1
         elif version in self.versions():
             raise FileExistsError(f"version {version} of {self.path} is already published")
         df.write.mode("overwrite").parquet(f"{self.path}/version={version}")
         return version
 
+    def update(self, build: Callable[[DataFrame | None], DataFrame], patience: float = 600.0) -> int:
+        """Publish what ``build`` makes of the current state (None at first), and never lose another writer's state.
+
+        A writer claims the number after the state it read. Who finds it claimed waits for that
+        version and starts again from it. A claim without a version after ``patience`` seconds counts as that of
+        a writer that died, and its number is passed over.
+        """
+        dead: set[int] = set()
+        while True:
+            base = self.current()
+            version = next(v for v in itertools.count((base or 0) + 1) if v not in dead)
+            if self._claim(version):
+                if self.current() != base:
+                    dead.add(version)  # claimed too late; the number stays empty
+                    continue
+                build(None if base is None else self.read(base)).write.mode("overwrite").parquet(f"{self.path}/version={version}")
+                return version
+            waited = time.monotonic()
+            while self.current() == base and time.monotonic() - waited < patience:
+                time.sleep(0.2)
+            if self.current() == base:
+                dead.add(version)
+
     def prune(self, keep: int = 2) -> list[int]:
         """Drop all but the last ``keep`` versions and return what was dropped."""
         if keep < 1:

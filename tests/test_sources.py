@@ -1,5 +1,6 @@
 """Readers, sinks, layouts, functions."""
 
+from concurrent.futures import ThreadPoolExecutor
 import datetime
 from decimal import Decimal
 
@@ -214,3 +215,24 @@ def test_load_times_stay_text(spark, tmp_path):
     for load in ("2024-01-01 00:00:00", "2024-01-01 00:00:00.0", "007"):
         staging.load(spark.range(1), load)
     assert sorted(r.load_date for r in staging.read().collect()) == ["007", "2024-01-01 00:00:00", "2024-01-01 00:00:00.0"]
+
+
+def test_two_writers_lose_no_row(spark, tmp_path):
+    table = sinks.VersionedTable(spark, f"{tmp_path}/shared")
+    table.write(spark.range(1))
+
+    def add(number):
+        other = sinks.VersionedTable(spark, table.path)
+        return other.update(lambda now: now.unionByName(spark.range(number, number + 1)))
+
+    with ThreadPoolExecutor(4) as pool:
+        versions = list(pool.map(add, range(1, 7)))
+    assert len(set(versions)) == 6
+    assert sorted(r.id for r in table.read().collect()) == list(range(7))
+
+
+def test_a_claim_of_a_dead_writer_is_passed_over(spark, tmp_path):
+    table = sinks.VersionedTable(spark, f"{tmp_path}/claimed")
+    assert table._claim(1) and not table._claim(1)
+    assert table.update(lambda now: spark.range(3), patience=0.5) == 2
+    assert table.write(spark.range(4)) == 3 and table.read().count() == 4
