@@ -14,13 +14,13 @@ in regions that shrink until they can be compared, and no link is lost on the wa
    are also posted under their least shingles, as many as a link cannot all miss
 2. *Heads.* Each region's members are compared with its head, the one that meets most others. Links
    become components; regions of one component are done, and copies of a text end here
-3. *Voronoi regions.* Regions that share members are one crowd. A crowd beyond ``LEAF`` gets ``PIVOTS``
+3. *Voronoi regions.* Regions beyond ``LEAF`` members that share some are one crowd. It gets ``PIVOTS``
    pivots, each member its exact distance to each; it is at home with the nearest and, by the triangle
    inequality, also in every region whose pivot is at most 2 r farther: a link of a point at home there
    can be no farther out. Regions go on recursively with pivots of their own, unless the windows
    overlap so much that no work is saved; such a crowd stays whole
-4. *Leaves.* Members of different components are paired in a leaf (in a crowd that stayed whole, where
-   they share an outermost region too) if sizes, distances to the pivots (apart by at most r) and the
+4. *Leaves.* Members of different components are paired in a leaf or a small outermost region (in a crowd
+   that stayed whole, where they share an outermost region) if sizes, distances to the pivots (apart by at most r) and the
    parities of their sets leave a link possible. These are bounds of links, not caps. Full sets decide
 
 Every link is thus confirmed or within one component. Ties of distances go to the lower pivot. Nothing
@@ -35,6 +35,7 @@ from __future__ import annotations
 
 from collections import OrderedDict
 from collections.abc import Callable, Iterator
+from math import isqrt
 
 import numpy as np
 import pandas as pd
@@ -48,6 +49,8 @@ from dimsmith.llm.minhash_dedup import class_id, close, parities, shingle_set
 
 WIDTH, PERCENT = 4, 85
 PIVOTS, LEAF = 8, 64
+#: Buckets of the finer parities, which pairs meet before their texts do.
+FINE = 2048
 #: Distances are quotients of integers; what rounding may add to a difference of two.
 ROUNDING = 1e-9
 
@@ -65,12 +68,12 @@ def places(shingles: np.ndarray, percent: int) -> np.ndarray:
     most = differences(size, percent)
     if not most:
         return np.empty(0, np.int64)
-    levels = [size.bit_length()]
-    if (size * 100 // percent).bit_length() > levels[0]:
-        levels.append(levels[0] + 1)
+    # Sizes of a level differ by less than the square root of 2: wide buckets hold few sets alike by chance.
+    own, reached = ((n * n).bit_length() for n in (size, size * 100 // percent))
     with np.errstate(over="ignore"):
-        for level in levels:
-            buckets = differences(1 << level, percent) * 11 // 10 + 4
+        for level in range(own, reached + 1):
+            largest = isqrt(1 << level)
+            buckets = differences(largest, percent) + 1 + largest // 100
             at = ((shingles >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
             starts = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
             held = np.add.reduceat(mixed(shingles ^ MIX), starts)[: most + 1]
@@ -81,8 +84,12 @@ def places(shingles: np.ndarray, percent: int) -> np.ndarray:
     return np.concatenate(found).view(np.int64)
 
 
+def fine_parities(shingles: np.ndarray) -> bytes:
+    return np.packbits(np.bincount((shingles % np.uint64(FINE)).astype(np.int64), minlength=FINE) & 1).tobytes()
+
+
 def placed(documents: DataFrame, width: int, percent: int) -> DataFrame:
-    """(doc_id, n_shingles, cid, places, parities, packed) of every document; the last three from the first of each class in a task only."""
+    """(doc_id, n_shingles, cid, places, parities, fine, packed) of every document; the last four from the first of each class in a task only."""
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known, told, packer = WordHashes(), set(), zstandard.ZstdCompressor(3)
@@ -92,31 +99,31 @@ def placed(documents: DataFrame, width: int, percent: int) -> DataFrame:
                 own = shingle_set(text, width, known)
                 cid = class_id(own) if len(own) else None
                 if cid is None or cid in told:
-                    rows.append((len(own), cid, None, None, None))
+                    rows.append((len(own), cid, None, None, None, None))
                     continue
                 if len(told) > 1_000_000:
                     told.clear()
                 told.add(cid)
                 posts = places(own, percent)
-                rows.append((len(own), cid, posts, parities(own), packer.compress(text.encode())) if len(posts) else (len(own), cid, None, None, None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "places", "parities", "packed"])
+                rows.append((len(own), cid, posts, parities(own), fine_parities(own), packer.compress(text.encode())) if len(posts) else (len(own), cid, None, None, None, None))
+            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "places", "parities", "fine", "packed"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(place, f"doc_id {kind}, n_shingles long, cid binary, places array<long>, parities array<long>, packed binary")
+    return documents.mapInPandas(place, f"doc_id {kind}, n_shingles long, cid binary, places array<long>, parities array<long>, fine binary, packed binary")
 
 
 def outermost(rows: DataFrame, settle: Settle) -> tuple[DataFrame, DataFrame]:
-    """(region, cid) of regions that several classes share, and (cid, n_shingles, parities, packed) of those classes."""
+    """(region, cid) of regions that several classes share, and (cid, n_shingles, parities, fine, packed) of those classes."""
     key = F.xxhash64("cid").alias("key")  # half the size of a class id; what collides is compared
     posts = rows.where(F.col("places").isNotNull()).select(key, F.explode("places").alias("region"))
     same = Window.partitionBy("region")
     posts = posts.withColumns({"low": F.min("key").over(same), "high": F.max("key").over(same)})
     posts = settle(posts.where(F.col("low") != F.col("high")).select("region", "key"))
     keys = posts.select(F.col("key").alias("its")).distinct()
-    own = rows.where(F.col("places").isNotNull()).select("cid", "n_shingles", "parities", "packed").withColumn("key", F.xxhash64("cid"))
-    own = own.join(keys, F.col("key") == F.col("its"), "left_semi").groupBy("cid").agg(*[F.first(c).alias(c) for c in ("key", "n_shingles", "parities", "packed")])
+    own = rows.where(F.col("places").isNotNull()).select("cid", "n_shingles", "parities", "fine", "packed").withColumn("key", F.xxhash64("cid"))
+    own = own.join(keys, F.col("key") == F.col("its"), "left_semi").groupBy("key", "cid").agg(*[F.first(c).alias(c) for c in ("n_shingles", "parities", "fine", "packed")])
     own = settle(own)
     regions = posts.distinct().join(own.select(F.col("key").alias("its"), "cid"), F.col("key") == F.col("its")).select("region", "cid")
     return settle(regions), own.drop("key")
@@ -126,34 +133,29 @@ def side(df: DataFrame, name: str, *columns: str) -> DataFrame:
     return df.select(F.col("cid").alias(name), *[F.col(c).alias(f"{c}_{name}") for c in columns])
 
 
-def shared(pairs: DataFrame, own: DataFrame, width: int) -> DataFrame:
-    """The pairs (a, b, further columns) of classes with ``both``, the number of shingles in common, and both sizes."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, unpacker = WordHashes(), zstandard.ZstdDecompressor()
-        recent: OrderedDict[bytes, np.ndarray] = OrderedDict()
+class Sets(OrderedDict):
+    """Shingle sets of packed texts, the last ``most`` kept."""
 
-        def full(cid: bytes, packed: bytes) -> np.ndarray:
-            if cid not in recent:
-                recent[cid] = shingle_set(unpacker.decompress(packed).decode(), width, known)
-                if len(recent) > 64:
-                    recent.popitem(last=False)
-            recent.move_to_end(cid)
-            return recent[cid]
-
-        for batch in batches:
-            sets = [(full(a, x), full(b, y)) for a, b, x, y in zip(batch["a"], batch["b"], batch["packed_a"], batch["packed_b"])]
-            both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets]
-            yield batch[kept].assign(n_shingles_a=[len(x) for x, _ in sets], n_shingles_b=[len(y) for _, y in sets], both=both)
+    def __init__(self, width: int, most: int = 64):
+        super().__init__()
+        self.width, self.most = width, most
+        self.known, self.unpacker = WordHashes(), zstandard.ZstdDecompressor()
 
-    kept = pairs.columns
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in pairs.schema.fields)
-    full_pairs = pairs.join(side(own, "a", "packed"), "a").join(side(own, "b", "packed"), "b").select(*kept, "packed_a", "packed_b")
-    return full_pairs.mapInPandas(count, f"{kinds}, n_shingles_a long, n_shingles_b long, both long")
+    def of(self, packed: bytes, key: bytes | None = None) -> np.ndarray:
+        """The set of a text; one with a ``key`` is looked up and kept."""
+        if key is not None and key in self:
+            self.move_to_end(key)
+            return self[key]
+        own = shingle_set(self.unpacker.decompress(packed).decode(), self.width, self.known)
+        if key is not None:
+            self[key] = own
+            if len(self) > self.most:
+                self.popitem(last=False)
+        return own
 
 
-def linked(percent: int) -> Column:
-    return 100 * F.col("both") >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b") - F.col("both"))
+def common(a: np.ndarray, b: np.ndarray) -> int:
+    return len(np.intersect1d(a, b, assume_unique=True))
 
 
 def possible(percent: int) -> Column:
@@ -164,8 +166,53 @@ def possible(percent: int) -> Column:
 
 def confirmed(pairs: DataFrame, own: DataFrame, width: int, percent: int) -> DataFrame:
     """(u, v) of the pairs (a, b) that are links."""
-    near = pairs.join(side(own, "a", "n_shingles", "parities"), "a").join(side(own, "b", "n_shingles", "parities"), "b").where(possible(percent)).select("a", "b")
-    return shared(near, own, width).where(linked(percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+    def differ(first: pd.Series, second: pd.Series) -> pd.Series:
+        odd = [np.frombuffer(x, np.uint64) ^ np.frombuffer(y, np.uint64) for x, y in zip(first, second)]
+        return pd.Series(np.bitwise_count(np.stack(odd)).sum(axis=1) if odd else [], dtype="int64")
+
+    def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets = Sets(width)
+        for batch in batches:
+            held = []
+            for a, b, x, y in zip(batch["a"], batch["b"], batch["packed_a"], batch["packed_b"]):
+                first, second = sets.of(x, a), sets.of(y, b)
+                both = common(first, second)
+                held.append(100 * both >= percent * (len(first) + len(second) - both))
+            yield batch.loc[held, ["a", "b"]].rename(columns={"a": "u", "b": "v"})
+
+    near = pairs.join(side(own, "a", "n_shingles", "parities", "fine"), "a").join(side(own, "b", "n_shingles", "parities", "fine"), "b").where(possible(percent))
+    total, apart = F.col("n_shingles_a") + F.col("n_shingles_b"), F.pandas_udf(differ, "long")(F.col("fine_a"), F.col("fine_b"))
+    near = near.select("a", "b", total.alias("total"), apart.alias("apart")).where(100 * (F.col("total") - F.col("apart")) >= percent * (F.col("total") + F.col("apart"))).select("a", "b")
+    full = near.join(side(own, "a", "packed"), "a").join(side(own, "b", "packed"), "b")
+    return full.mapInPandas(confirm, "u binary, v binary")
+
+
+def distances(crowd: DataFrame, pivots: DataFrame, own: DataFrame, width: int) -> DataFrame:
+    """(crowd, cid, root, near): each member's distances to the pivots (crowd, slot, pivot) of its crowd, nearest first.
+
+    The pivots of a crowd travel together, so each member's text is read once.
+    """
+
+    def measure(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sets = Sets(width)
+        for batch in batches:
+            near = []
+            for packed, ones in zip(batch["packed"], batch["pivots"]):
+                own = sets.of(packed)
+                found = []
+                for one in ones:
+                    other = sets.of(one["packed"], one["pivot"])
+                    both = common(own, other)
+                    found.append((1 - both / (len(own) + len(other) - both), one["slot"]))
+                near.append([{"d": d, "slot": slot} for d, slot in sorted(found)])
+            yield batch[["crowd", "cid", "root"]].assign(near=near)
+
+    texts = own.select(F.col("cid").alias("its"), "packed")
+    together = pivots.join(texts, F.col("pivot") == F.col("its")).groupBy(F.col("crowd").alias("of")).agg(F.collect_list(F.struct("slot", "pivot", "packed")).alias("pivots")).hint("rebalance")
+    rows = crowd.join(texts, F.col("cid") == F.col("its")).select("crowd", "cid", "root", "packed")
+    rows = rows.join(together, F.col("crowd") == F.col("of")).select("crowd", "cid", "root", "packed", "pivots")
+    return rows.mapInPandas(measure, "crowd long, cid binary, root binary, near array<struct<d: double, slot: int>>")
 
 
 def rooted(df: DataFrame, roots: DataFrame, column: str = "root") -> DataFrame:
@@ -179,17 +226,24 @@ def unfinished(members: DataFrame, by: str) -> DataFrame:
     return members.join(mixed_up.select("its"), F.col(by) == F.col("its"), "left_semi")
 
 
+def crowds(regions: DataFrame, settle: Settle) -> DataFrame:
+    """(crowd, cid, root): the members of regions, those of regions that share one in the same crowd."""
+    if regions.isEmpty():
+        return regions.select(F.col("region").alias("crowd"), "cid", "root")
+    firsts = regions.groupBy(F.col("region").alias("its")).agg(F.min("cid").alias("first"))
+    joined = regions.join(firsts, F.col("region") == F.col("its")).select(F.col("cid").alias("u"), F.col("first").alias("v")).distinct()
+    together = components(settle(joined), settle)
+    return rooted(regions.select("cid", "root").distinct(), together, "first").select(F.xxhash64("first").alias("crowd"), "cid", "root")
+
+
 def voronoi(crowd: DataFrame, own: DataFrame, settle: Settle, width: int, percent: int, pivots: int, leaf: int, depth: int) -> tuple[DataFrame, DataFrame]:
     """One level of regions: those that go on, and those that stay whole, of members (crowd, cid, root) beyond a leaf.
 
     The first result is (crowd, cid, root), the second has also ``away``, the distances to the pivots.
     """
     slot = F.pmod(F.xxhash64("root", F.lit(depth)), F.lit(pivots)).cast("int")
-    chosen = crowd.groupBy(F.col("crowd").alias("its"), slot.alias("slot")).agg(F.min_by("cid", F.xxhash64("cid", F.lit(depth))).alias("pivot"))
-    pairs = crowd.join(chosen, F.col("crowd") == F.col("its")).select(F.col("cid").alias("a"), F.col("pivot").alias("b"), "crowd", "slot", "root")
-    distance = 1 - F.col("both") / (F.col("n_shingles_a") + F.col("n_shingles_b") - F.col("both"))
-    away = shared(pairs, own, width).select("crowd", F.col("a").alias("cid"), "root", F.struct(distance.alias("d"), "slot").alias("one"))
-    away = settle(away.groupBy("crowd", "cid", "root").agg(F.array_sort(F.collect_list("one")).alias("near")))
+    chosen = crowd.groupBy("crowd", slot.alias("slot")).agg(F.min_by("cid", F.xxhash64("cid", F.lit(depth))).alias("pivot"))
+    away = settle(distances(crowd, chosen, own, width))
     reach = F.col("near")[0]["d"] + 2 * (100 - percent) / 100 + ROUNDING
     inside = away.select("crowd", "cid", "root", F.explode(F.filter("near", lambda p: p["d"] <= reach)).alias("one"))
     inside = inside.select("crowd", "cid", "root", "one.slot")
@@ -228,15 +282,13 @@ def links(regions: DataFrame, own: DataFrame, settle: Settle, width: int, percen
     open_regions = settle(unfinished(rooted(regions, roots), "region"))
     if open_regions.isEmpty():
         return roots
-    # regions that share a member are one crowd: no link leaves it
-    firsts = open_regions.groupBy(F.col("region").alias("its")).agg(F.min("cid").alias("first"))
-    joined = open_regions.join(firsts, F.col("region") == F.col("its")).select(F.col("cid").alias("u"), F.col("first").alias("v")).distinct()
-    crowds = components(settle(joined), settle)
-    members = rooted(open_regions.select("cid", "root").distinct(), crowds, "first").select(F.xxhash64("first").alias("crowd"), "cid", "root")
-
     nowhere = F.array().cast("array<double>").alias("away")
-    found, depth, crowd = [], 0, settle(members)
-    while True:
+    counts = open_regions.groupBy(F.col("region").alias("its")).agg(F.count("*").alias("n"))
+    small = open_regions.join(counts.where(F.col("n") <= leaf), F.col("region") == F.col("its"), "left_semi")
+    found = [paired(small.select("region", "cid", "root", nowhere), own, ["region"], percent)]
+    large_regions = settle(open_regions.join(counts.where(F.col("n") > leaf), F.col("region") == F.col("its"), "left_semi"))
+    depth, crowd = 0, settle(crowds(large_regions, settle))
+    while not crowd.isEmpty():
         counts = crowd.groupBy(F.col("crowd").alias("its")).agg(F.count("*").alias("n"))
         small = crowd.join(counts.where(F.col("n") <= leaf), F.col("crowd") == F.col("its"), "left_semi")
         found.append(paired(small.select("crowd", "cid", "root", nowhere), own, ["crowd"], percent))
@@ -246,7 +298,7 @@ def links(regions: DataFrame, own: DataFrame, settle: Settle, width: int, percen
         depth += 1
         crowd, whole = voronoi(large, own, settle, width, percent, pivots, leaf, depth)
         crowd = settle(crowd)
-        again = whole.join(open_regions.select(F.col("cid").alias("its"), "region"), F.col("cid") == F.col("its")).drop("its")
+        again = whole.join(large_regions.select(F.col("cid").alias("its"), "region"), F.col("cid") == F.col("its")).drop("its")
         found.append(paired(again, own, ["crowd", "region"], percent))
     pairs = found[0]
     for more in found[1:]:
