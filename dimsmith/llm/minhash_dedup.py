@@ -2,7 +2,7 @@
 
 Documents whose shingle sets are equal form a class; a class is compared once, whatever its size.
 A class's signature has ``MINIMA`` minima; each is a coordinate, and a coordinate with its minimum is
-a value. All values have one order, the rarest first, and each class is posted under the first
+a value of 64 bits, so that the corpus may grow without values meeting by chance. All values have one order, the rarest first, and each class is posted under the first
 ``PREFIX`` of its own. Two classes with ``MATCHES`` equal minima share a value there: of all they share
 the first one is followed by ``MATCHES - 1`` others in both. So no such pair is lost. Values that no
 other class has come first and are not posted, so a class with ``PREFIX`` of them is in no list.
@@ -21,7 +21,7 @@ Lists are joined in two steps, so that a list of thousands of copies never yield
 Every pair that shares a posted value is thus either in one component already or compared. Its
 collisions are counted on both signatures, minimum by minimum, instead of by merging the lists with
 skips: the counts are those of all lists. Pairs with fewer than ``MATCHES`` equal minima are dropped
-(at 0.8 one in a million would be), the others are confirmed on the full shingle sets of their whole
+(at 0.8 four in 100,000 would be), the others are confirmed on the full shingle sets of their whole
 texts. Nothing is capped and nothing is collected.
 
 A document without words has an empty set and is linked with nothing. Null ids are kept: they are
@@ -40,12 +40,12 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dimsmith.llm.common import WordHashes, narrowed, shingle_hashes
+from dimsmith.llm.common import MIX, WordHashes, mixed, narrowed, shingle_hashes
 from dimsmith.llm.components import components
 
-MINIMA = 160
-#: Of 160 minima, 128 agree on average at a similarity of 0.8, with a deviation of 5.
-MATCHES = 104
+MINIMA = 64
+#: Of 64 minima, 51 agree on average at a similarity of 0.8, with a deviation of 3.2.
+MATCHES = 38
 #: Two classes with MATCHES equal minima share one of so many first values.
 PREFIX = MINIMA - MATCHES + 1
 PERCENT = 80
@@ -53,6 +53,7 @@ PARITIES = 512
 _random = np.random.default_rng(20)
 FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 MASKS = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
+PLACES = np.arange(1, MINIMA + 1, dtype=np.uint64) * MIX
 
 Settle = Callable[[DataFrame], DataFrame]
 
@@ -67,11 +68,17 @@ def class_id(shingles: np.ndarray) -> bytes:
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
+    """Of each coordinate the least shingle in its order, hashed with its place."""
     short = (shingles >> np.uint64(32)).astype(np.uint32)
-    out = np.full(len(FACTORS), 0xFFFFFFFF, np.uint32)
-    for at in range(0, len(short), 1024):
-        np.minimum(out, ((short[at : at + 1024, None] ^ MASKS) * FACTORS).min(axis=0), out=out)
-    return out
+    least, where = np.full(MINIMA, 0xFFFFFFFF, np.uint32), np.zeros(MINIMA, np.int64)
+    for at in range(0, len(short), 4096):
+        ranks = (short[at : at + 4096] ^ MASKS[:, None]) * FACTORS[:, None]
+        here = ranks.argmin(axis=1)
+        rank = ranks[np.arange(MINIMA), here]
+        where = np.where(rank < least, here + at, where)
+        least = np.minimum(rank, least)
+    with np.errstate(over="ignore"):
+        return mixed(shingles[where] + PLACES)
 
 
 def parities(shingles: np.ndarray) -> np.ndarray:
@@ -88,42 +95,32 @@ def close(a: str, b: str, percent: int) -> Column:
 
 
 def signatures(documents: DataFrame, width: int) -> DataFrame:
-    """(doc_id, n_shingles, cid, coordinates, minima, parities) of every document; the last four null without words."""
+    """(doc_id, n_shingles, cid, coordinates, minima, parities, packed) of every document.
+
+    The last five are null without words; ``packed``, the compressed text, is given once a class in a task.
+    """
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = WordHashes()
+        known, told, packer = WordHashes(), set(), zstandard.ZstdCompressor(3)
         for batch in batches:
             rows = []
             for text in batch["text"]:
                 own = shingle_set(text, width, known)
-                if len(own):
-                    least = minima(own)
-                    rows.append((len(own), class_id(own), least.view(np.int32), least.astype(np.uint8).tobytes(), parities(own)))
-                else:
-                    rows.append((0, None, None, None, None))
-            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "coordinates", "minima", "parities"])
+                if not len(own):
+                    rows.append((0, None, None, None, None, None))
+                    continue
+                cid, least = class_id(own), minima(own)
+                packed = None if cid in told else packer.compress(text.encode())
+                if len(told) > 1_000_000:
+                    told.clear()
+                told.add(cid)
+                rows.append((len(own), cid, least.view(np.int64), least.astype(np.uint8).tobytes(), parities(own), packed))
+            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "coordinates", "minima", "parities", "packed"])
             out.insert(0, "doc_id", batch["doc_id"].array)
             yield out
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<int>, minima binary, parities array<long>")
-
-
-def class_texts(documents: DataFrame, width: int) -> DataFrame:
-    """(cid, packed): compressed texts with their class; one of each class from each task."""
-
-    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, told, packer = WordHashes(), set(), zstandard.ZstdCompressor(3)
-        for batch in batches:
-            rows = []
-            for text in batch["text"]:
-                own = shingle_set(text, width, known)
-                if len(own) and (cid := class_id(own)) not in told:
-                    told.add(cid)
-                    rows.append((cid, packer.compress(text.encode())))
-            yield pd.DataFrame(rows, columns=["cid", "packed"])
-
-    return documents.select("text").mapInPandas(pack, "cid binary, packed binary")
+    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<long>, minima binary, parities array<long>, packed binary")
 
 
 def alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
@@ -179,8 +176,7 @@ def alone_in(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
 
 def prefixes(classes: DataFrame, settle: Settle) -> DataFrame:
     """(value, cid, size): the first ``PREFIX`` values of each class, the rarest first, without those of one class only."""
-    each = classes.select("cid", F.posexplode("coordinates").alias("place", "least"))
-    each = each.select("cid", F.shiftleft(F.col("place").cast("long"), 32).bitwiseOR(F.col("least").cast("long").bitwiseAND(F.lit(0xFFFFFFFF))).alias("value"))
+    each = classes.select("cid", F.explode("coordinates").alias("value"))
     counts = each.groupBy(F.col("value").alias("its")).agg(F.count("*").alias("size")).where(F.col("size") > 1)
     shared = settle(each.join(counts, F.col("value") == F.col("its")).select("value", "cid", "size"))
     # the others of a class are its alone and come first
@@ -201,7 +197,8 @@ def near_duplicates(documents: DataFrame, settle: Settle, width: int = 4, percen
     lists = settle(lists.join(heads, F.col("value") == F.col("its")).select("value", "cid", F.col("head.cid").alias("head")))
     members = lists.select("cid").distinct().withColumnRenamed("cid", "member")
     own = settle(classes.select("cid", "n_shingles", "minima", "parities").join(members, F.col("cid") == F.col("member"), "left_semi"))
-    texts = settle(class_texts(documents, width).join(own.select(F.col("cid").alias("member")), F.col("cid") == F.col("member"), "left_semi").groupBy("cid").agg(F.first("packed").alias("packed")))
+    packed = signed.where(F.col("packed").isNotNull()).select("cid", "packed")
+    texts = settle(packed.join(own.select(F.col("cid").alias("member")), F.col("cid") == F.col("member"), "left_semi").groupBy("cid").agg(F.first("packed").alias("packed")))
 
     pairs = lists.where(F.col("cid") != F.col("head")).select(F.col("cid").alias("a"), F.col("head").alias("b")).distinct()
     edges = settle(alike(pairs, own, texts, width, percent)).select(F.col("a").alias("u"), F.col("b").alias("v"))
