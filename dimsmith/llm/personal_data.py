@@ -86,21 +86,46 @@ def redact(df: DataFrame, text: str = "text") -> DataFrame:
     each = F.concat(*[found(whole(f"`{text}`"), k, rank) for rank, k in enumerate(KINDS)])
     rows = once(df, into, F.array_sort(F.transform(each, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["rank"].alias("rank")))))
 
-    def join(done: Column, s: Column) -> Column:
-        last = F.element_at(done, -1)
-        joined = F.struct(last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"), F.least(last["rank"], s["rank"]).alias("rank"))
-        return F.when((F.size(done) > 0) & (s["start"] < F.get(done, F.size(done) - 1)["end"]), F.array_append(F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0))), joined)).otherwise(F.array_append(done, s))
-
-    rows = once(rows, into, F.aggregate(into, F.array().cast("array<struct<start:bigint,end:bigint,rank:int>>"), join))
     names = F.array(*[F.lit(f"[{k.name.upper()}]") for k in KINDS])
-    cut = lambda start, end: F.substring(own, (start + 1).cast("int"), (end - start).cast("int"))
-    before = lambda k: F.coalesce(F.get(into, k - 1)["end"], F.lit(0))
-    pieces = F.transform(into, lambda s, k: F.concat(cut(before(k), s["start"]), F.get(names, s["rank"])))
-    rest = cut(before(F.size(into)), F.length(own))
-    rows = once(rows, text, F.when(F.size(into) > 0, F.concat(F.array_join(pieces, ""), rest)).otherwise(own))
+    rows = once(rows, into, merged(F.col(into)))
+    rows = once(rows, text, F.when(F.size(into) > 0, replaced(own, F.col(into), names)).otherwise(own))
     return rows.select(*[F.col(f"`{c}`") for c in others], own)
 
 
+def merged(found: Column) -> Column:
+    """Spans (start, end, rank), sorted, with those that overlap joined into one of the least rank."""
+
+    def joined(reach: Column) -> Column:
+        firsts = F.filter(F.sequence(F.lit(0), F.size(found) - 1), lambda i: F.get(found, i)["start"] >= F.get(reach, i))
+
+        def one(at: Column, i: Column, k: Column) -> Column:
+            own = F.slice(found, i + 1, F.coalesce(F.get(at, k + 1), F.size(found)) - i)
+            end, rank = F.array_max(F.transform(own, lambda s: s["end"])), F.array_min(F.transform(own, lambda s: s["rank"]))
+            return F.struct(F.get(found, i)["start"].alias("start"), end.alias("end"), rank.alias("rank"))
+
+        return S.let(firsts, lambda at: F.transform(at, lambda i, k: one(at, i, k)))
+
+    ends = F.transform(found, lambda s: s["end"])
+    return F.when(F.size(found) > 0, S.let(S.scan(ends, F.greatest), joined)).otherwise(found)
+
+
+def replaced(text: Column, found: Column, names: Column) -> Column:
+    """The text with its spans (none overlap) replaced by names. Blocks of spans cut their part of the text once, and that part for each span."""
+    cut = lambda t, start, end: F.substring(t, (start + 1).cast("int"), (end - start).cast("int"))
+
+    def block(own: Column, base: Column) -> Column:
+        before = lambda k: F.coalesce(F.get(own, k - 1)["end"], base) - base
+        inside = lambda part: F.transform(own, lambda s, k: F.concat(cut(part, before(k), s["start"] - base), F.get(names, s["rank"])))
+        return F.array_join(S.let(cut(text, base, F.element_at(own, -1)["end"]), inside), "")
+
+    size = S.blocks(F.size(found))
+    each = F.transform(
+        F.sequence(F.lit(0), F.size(found) - 1, size),
+        lambda s: S.let(F.coalesce(F.get(found, s - 1)["end"], F.lit(0).cast("long")), lambda base: S.let(F.slice(found, s + 1, size), lambda own: block(own, base))),
+    )
+    return F.concat(F.array_join(each, ""), cut(text, F.element_at(found, -1)["end"], F.length(text)))
+
+
 def digests(documents: DataFrame) -> DataFrame:
     """Counts and digests of the spans of each document."""
     rows = scan(narrowed(documents, "doc_id", "text")).drop("text")
