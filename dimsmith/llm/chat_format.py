@@ -109,14 +109,33 @@ def learned(segments: Column) -> Column:
     return F.array_join(F.transform(F.filter(segments, lambda s: s["loss"]), lambda s: unescaped(s["text"])), "")
 
 
+#: Events of one turn at most, and the number that stands for no turn, before all others.
+STEPS, NO_TURN = 8, -(1 << 59)
+
+
 def turns_as_events(conversations: DataFrame) -> DataFrame:
-    """A table of finished turns as an event log."""
-    return conversations.select("conv_id", F.col("turn").cast("long").alias("seq"), F.col("turn").cast("string").alias("message_id"), F.lit("message").alias("type"), "role", "text")
+    """A table of finished turns as an event log that ends in them.
+
+    Each row is a message of its own, opened empty. An assistant's text follows a draft that is
+    regenerated, streamed as two deltas; any other text is streamed and then edited, to the same.
+    """
+    text, role = F.coalesce("text", F.lit("")), F.coalesce("role", F.lit(""))
+    half = F.floor(F.length(text) / 2).cast("int")
+    first, second = F.left(text, half), F.substring(text, half + 1, F.length(text))
+    event = lambda k, kind, t: F.struct(F.lit(k).alias("step"), F.lit(kind).alias("type"), t.alias("text"))
+    opened, streamed = event(0, "message", F.lit("")), lambda k: [event(k, "delta", first), event(k + 1, "delta", second)]
+    drafted = F.array(opened, event(1, "delta", F.substring(F.reverse(text), 1, 9)), event(2, "regenerate", F.lit("")), *streamed(3))
+    edited = F.array(opened, *streamed(1), event(3, "edit", text))
+    seq = F.coalesce(F.col("turn").cast("long"), F.lit(NO_TURN)) * STEPS
+    log = F.explode(F.when(role == "assistant", drafted).otherwise(edited))
+    rows = conversations.select("conv_id", "turn", "role", "text", F.monotonically_increasing_id().cast("string").alias("message_id"))
+    rows = rows.select("conv_id", seq.alias("first"), "message_id", role.alias("role"), log.alias("e"))
+    return rows.select("conv_id", (F.col("first") + F.col("e.step")).alias("seq"), "message_id", "e.type", "role", "e.text")
 
 
 def digests(conversations: DataFrame) -> DataFrame:
     """Digests of the turns and the loss mask, read back from the formatted conversations."""
-    rows = rendered(folded(turns_as_events(conversations)))
+    rows = rendered(folded(turns_as_events(conversations)), BLOCK * STEPS)
     rows = once(rows, "read", F.struct(read_back(F.col("formatted")).alias("turns"), learned(F.col("segments")).alias("loss"))).select("conv_id", "formatted", "read.*")
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return rows.select(
