@@ -48,11 +48,20 @@ def folding() -> np.ndarray:
     return table
 
 
+@cache
+def letters() -> np.ndarray:
+    """Which code points are letters; marks count as letters only beside one."""
+    return np.fromiter((chr(code).isalpha() for code in range(0x110000)), bool, 0x110000)
+
+
 def folded(text: str | None) -> np.ndarray:
     """Letters in lower case, with one space between runs and at both ends; empty without a letter."""
     if not text:
         return np.empty(0, np.uint32)
-    codes = folding()[np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)]
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
+    if not letters()[points].any():
+        return np.empty(0, np.uint32)
+    codes = folding()[points]
     codes = np.concatenate(([SPACE], codes, [SPACE])).astype(np.uint32)
     space = codes == SPACE
     codes = codes[~(space & np.concatenate(([False], space[:-1])))]

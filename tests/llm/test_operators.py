@@ -147,6 +147,14 @@ def test_language(spark):
     assert ((0.9 < total) & (total < 1.0001)).all()
 
 
+def test_marks_without_a_letter_have_no_language(spark):
+    docs = spark.createDataFrame([(i, "the of and to house water", "en") for i in range(20)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    asked = spark.createDataFrame([(1, "\u0301\u0301"), (2, "e\u0301 the"), (3, "12 \u20e3")], "doc_id long, text string")
+    got = by_id(language_id.predict(asked, model).select("doc_id", "language.*"), "lang_pred")
+    assert got == {1: ("und",), 2: ("en",), 3: ("und",)}
+
+
 def test_byte_bpe(spark, rows):
     ranks = byte_bpe.read_ranks(PATH)
     known = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})

@@ -3,7 +3,7 @@
 import duckdb
 import pytest
 
-from dimsmith.llm import catalog
+from dimsmith.llm import catalog, chat_format
 from tests.llm import brute
 
 
@@ -48,3 +48,30 @@ def test_pipeline(spark, data_dir, documents):
     leaks = {d for d, t, _ in documents if any(i in t for i in items)}
     first = {d for d, top in groups.items() if d == top}
     assert kept == first - leaks and all(r.round_trip for r in rows)
+
+
+def test_chats_of_the_table(spark, data_dir):
+    """The digests come out of the fold of drafts, deltas, edits and regenerations."""
+    rows = duckdb.sql(f"SELECT conv_id, turn, role, coalesce(text, '') FROM '{data_dir}/conversations.parquet' ORDER BY conv_id, turn").fetchall()
+    rows += [(-1, k, role, "</s>[INST] ok [/INST]") for k, role in enumerate(("user", "assistant"))]
+    chats = {}
+    for conv, _, role, text in rows:
+        chats.setdefault(conv, []).append((role, text))
+    want = {}
+    for conv, turns in chats.items():
+        loss = "".join(t for r, t in turns if r == "assistant")
+        want[conv] = (len(turns), brute.sha("".join(f"{r}\n{t}\n" for r, t in turns)), len(loss), brute.sha(loss))
+    got = catalog.op10_chat_format(spark, data_dir).collect()
+    assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == want
+    types = {r.type for r in chat_format.turns_as_events(catalog.table(spark, data_dir, "conversations")).select("type").distinct().collect()}
+    assert types == {"message", "delta", "regenerate", "edit"}
+
+
+def test_filter_audit_equals_sql(spark, data_dir):
+    con = duckdb.connect()
+    for name in ("documents", "labels"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{data_dir}/{name}.parquet'")
+    got = catalog.op11_filter_audit(spark, data_dir)
+    want = con.execute(catalog.oracles()["op11_filter_audit"])
+    names = [d[0] for d in want.description]
+    assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want.fetchall())
