@@ -13,6 +13,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimsmith.operators import ordering
+from dimsmith.session import settle
+
 SALT = "__salt"
 
 
@@ -140,7 +143,8 @@ def product_with_list(df: DataFrame, values: DataFrame, max_values: int = 10_000
     """Every row of ``df`` combined with every row of a short list (small dimensions only).
 
     The list travels as one array inside the plan and is exploded next to each row, so nothing is
-    shuffled.  The query fails on a list longer than ``max_values`` rather than cutting it.
+    shuffled.  The query fails on a list longer than ``max_values`` rather than cutting it; see
+    :func:`product` for longer ones.
     """
     rows = values.limit(max_values + 1).agg(F.sort_array(F.collect_list(F.struct(*values.columns))).alias("rows"))
     refusal = F.raise_error(F.lit(f"the list has more than {max_values} rows; large products are not offered"))
@@ -149,6 +153,25 @@ def product_with_list(df: DataFrame, values: DataFrame, max_values: int = 10_000
     return exploded.select(*df.columns, *[F.col(f"__item.{c}").alias(c) for c in values.columns])
 
 
+def product(df: DataFrame, values: DataFrame, block_rows: int = 10_000, ranges: int | None = None) -> DataFrame:
+    """Every row of ``df`` combined with every row of ``values``, whatever the sizes of both.
+
+    ``values`` are packed into blocks of at most ``block_rows`` rows, every row of ``df`` meets every
+    block, and a block is unpacked next to it; so no task holds more than a block, and the rows of ``df``
+    that meet one block are spread like any hot join key. The result has as many rows as the sizes
+    multiplied; there is no way around that.
+    """
+    order = list(values.columns)
+    numbered = ordering.ordered(values, order, {"__n": ordering.row_number()}, ranges=ranges)
+    block = F.floor((F.col("__n") - 1) / block_rows).cast("int").alias("__its")
+    blocks = settle(numbered.groupBy(block).agg(F.collect_list(F.struct(*order)).alias("__rows")))
+    last = blocks.agg(F.max("__its")).scalar()
+    each = df.where(last.isNotNull()).select("*", F.explode(F.sequence(F.lit(0), last)).alias("__block"))
+    met = each.join(blocks, F.col("__block") == F.col("__its"))
+    unpacked = met.select(*df.columns, F.explode("__rows").alias("__item"))
+    return unpacked.select(*df.columns, *[F.col(f"__item.{c}").alias(c) for c in order])
+
+
 def join_sizes(
     left: DataFrame, right: DataFrame, on: Sequence[str], row_key: str, right_rows: str | None = None
 ) -> DataFrame:

@@ -303,6 +303,16 @@ def join_salted(t: Tables):
     return joins.salted_join(events, status, ["user_id"], share=0.005, salts=8).drop("user_id")
 
 
+@query(
+    "cross_join_blocks",
+    "SELECT c_custkey, s_suppkey, s_name FROM customer CROSS JOIN supplier WHERE c_mktsegment = 'BUILDING'",
+)
+def cross_join_blocks(t: Tables):
+    """Customers of a segment with every supplier, the suppliers in blocks."""
+    some = t.customer.where("c_mktsegment = 'BUILDING'").select("c_custkey")
+    return joins.product(some, t.supplier.select("s_suppkey", "s_name"), block_rows=64)
+
+
 def _customer_keys(t: Tables):
     return assign_surrogate_keys(t.customer, ["c_custkey"], "customer_dim_id", offset=100, stored=True)
 

@@ -429,7 +429,7 @@ def stream_weekly(t: Tables):
     arrivals = flows.arriving(t.spark, t.folder, t.events.schema, glob="events.parquet")
     counts = flows.weekly_counts(arrivals, "ts", ["event_type"])
     flows.run(lambda: flows.write_weekly(counts, path, fresh_path(t.spark, "progress"), mode="complete"))
-    return t.spark.read.parquet(path)
+    return sinks.VersionedTable(t.spark, path).read()
 
 
 @query(

@@ -15,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from dimsmith.operators.dedup import first_per_key
 from dimsmith.sources.history import HistoryTable
+from dimsmith.sources.sinks import VersionedTable
 
 
 def arriving(
@@ -90,13 +91,16 @@ def weekly_counts(events: DataFrame, event_time: str, by: Sequence[str], late: s
 
 
 def write_weekly(counts: DataFrame, path: str, checkpoint: str, mode: str = "append") -> StreamingQuery:
-    """Append finished weeks to a parquet folder (``append``), or publish all counts so far each time (``complete``)."""
+    """Append finished weeks to a parquet folder (``append``), or publish all counts so far as the next version of a
+    :class:`VersionedTable` at ``path`` (``complete``)."""
     writer = counts.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     if mode == "append":
         return writer.format("parquet").option("path", path).start()
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(path)
+        table = VersionedTable(batch.sparkSession, path)
+        if batch_id + 1 not in table.versions():
+            table.write(batch, batch_id + 1)
 
     return writer.foreachBatch(publish).start()
 

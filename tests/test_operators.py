@@ -233,3 +233,11 @@ def test_descend_a_chain_of_a_hundred_thousand(spark):
     assert got.where(F.col("level") != F.col("member")).count() == 0 and got.count() == 100_000
     spark.sparkContext.setJobGroup("", "")
     assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("chain")) < 20 * 12
+
+
+@pytest.mark.parametrize("block_rows", [1, 4, 100])
+def test_product_in_blocks(spark, block_rows):
+    left, right = spark.range(7).withColumnRenamed("id", "a"), spark.createDataFrame([(i % 4, None if i == 3 else str(i)) for i in range(9)], "b int, c string")
+    want = sorted(((a, *r) for a in range(7) for r in right.collect()), key=repr)
+    assert tuples(joins.product(left, right, block_rows), "a", "b", "c") == want
+    assert joins.product(left, right.limit(0)).count() == 0 and joins.product(left.limit(0), right).count() == 0
