@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -12,6 +13,8 @@ from dimsmith.operators.keys import assign_surrogate_keys
 from dimsmith.plans import facts, standin
 from dimsmith.plans.catalog.registry import query
 from dimsmith.plans.standin import MONEY
+from dimsmith.session import fresh_path
+from dimsmith.sources import layout
 from dimsmith.sources.readers import Tables
 
 
@@ -257,3 +260,36 @@ def ratio_recomputed(t: Tables):
     per_part = t.lineitem.groupBy("l_partkey").agg(F.sum(discount).alias("num"), F.sum(gross).alias("den"))
     typed = per_part.join(t.part.select("p_partkey", "p_type"), F.col("l_partkey") == F.col("p_partkey"))
     return measures.ratio(typed, ["p_type"], F.col("num"), F.col("den"), "discount_rate")
+
+
+@query(
+    "fact_pruned_by_dimension",
+    """
+SELECT CAST(year(o_orderdate) * 10000 + month(o_orderdate) * 100 + 1 AS INTEGER) AS rental_month, count(*) AS num_rentals,
+  CAST(sum(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(18,2))), 2)) AS DOUBLE) AS sum_amount
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE year(o_orderdate) = 1996 AND quarter(o_orderdate) = 2 GROUP BY 1""",
+)
+def fact_pruned_by_dimension(t: Tables):
+    """Income by month of a quarter, the quarter being a filter on the date dimension: only its months are read."""
+    path = fresh_path(t.spark, "lines-by-month")
+    facts.write_by_month(standin.rental_lines(t).select("rental_date", "amount"), path)
+    days = t.orders.select(fn.month_key("o_orderdate").alias("rental_month"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).distinct()
+    months = days.where((F.col("y") == 1996) & (F.col("q") == 2))
+    lines = facts.in_months(t.spark.read.parquet(path), months)
+    return lines.groupBy("rental_month").agg(F.count(F.lit(1)).alias("num_rentals"), F.sum("amount").alias("sum_amount"))
+
+
+@query(
+    "fact_bucketed_lookup",
+    """
+WITH p AS (SELECT p_partkey, row_number() OVER (ORDER BY p_partkey) + 1000 AS film_dim_id FROM part)
+SELECT film_dim_id, count(*) AS num_lines FROM lineitem JOIN p ON l_partkey = p_partkey GROUP BY 1""",
+)
+def fact_bucketed_lookup(t: Tables):
+    """Lines per film from a fact and a dimension bucketed alike: no shuffle of the lines for the lookup or the count."""
+    run = uuid.uuid4().hex
+    lines, films = f"lines_{run}", f"films_{run}"
+    layout.write_bucketed_table(t.lineitem.select(F.col("l_partkey").alias("film_id"), "l_orderkey", "l_linenumber"), lines, "film_id", 8)
+    layout.write_bucketed_table(star(t).film, films, "film_id", 8)
+    found = facts.bucketed_lookup(t.spark, lines, films, "film_id", "film_dim_id")
+    return found.groupBy("film_id", "film_dim_id").agg(F.count(F.lit(1)).alias("num_lines")).select("film_dim_id", "num_lines")

@@ -12,7 +12,7 @@ import datetime
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dimsmith import functions as fn
@@ -162,6 +162,25 @@ def _outer_date(week: int, is_last: bool, calendar_year: bool) -> str:
     return (monday + datetime.timedelta(days=7) if is_last else monday).isoformat()
 
 
+def write_by_month(lines: DataFrame, path: str) -> None:
+    """Rental lines in one folder per month of rental, keyed like a month of the date dimension."""
+    months = lines.withColumn("rental_month", fn.month_key("rental_date"))
+    months.hint("rebalance", F.col("rental_month")).write.mode("overwrite").partitionBy("rental_month").parquet(path)
+
+
+def in_months(stored: DataFrame, months: DataFrame) -> DataFrame:
+    """The lines of a table written by :func:`write_by_month` whose months a filtered dimension names (``rental_month``).
+
+    The filter stays on the dimension: Spark runs it first and opens the folders of its months only.
+    """
+    return stored.join(months.select("rental_month").distinct(), "rental_month")
+
+
+def bucketed_lookup(spark: SparkSession, lines: str, dim: str, on: str, surrogate: str) -> DataFrame:
+    """Lines of one bucketed table with the surrogate key from another, both bucketed by ``on`` alike, so that neither is shuffled."""
+    return spark.table(lines).join(spark.table(dim).select(on, surrogate), on)
+
+
 def average_time_fact(rentals: DataFrame, dims: Dimensions) -> DataFrame:
     """Average rental days per month, copy, film and store.
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from dimsmith.operators import stock
 from dimsmith.plans import dimensions, facts, views
 from dimsmith.plans.calendars import date_dimension, time_dimension, week_attributes, week_dimension, week_month_attributes
-from dimsmith.sources import series
+from dimsmith.session import fresh_path
+from dimsmith.sources import layout, series
 from tests.conftest import tuples
 
 STAMP = datetime.datetime(2006, 2, 15, 9, 57, 12)
@@ -269,3 +270,26 @@ def test_calendars(spark):
         ("22:29", "22:15 – 22:29", "Evening", "Night"),
         ("23:59", "23:45 – 23:59", "Night", "Night"),
     ]
+
+
+def test_a_filter_on_the_dimension_prunes_the_fact(spark, model):
+    path = fresh_path(spark, "by-month")
+    facts.write_by_month(lines(model), path)
+    months = spark.createDataFrame([(20050501, "spring"), (20050601, "summer")], "rental_month int, season string").where("season = 'summer'")
+    found = facts.in_months(spark.read.parquet(path), months)
+    assert tuples(found, "rental_id") == [(3,)] * found.count() and found.count() > 0
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString().lower()
+
+
+def test_bucketed_lookup_moves_no_line(spark):
+    layout.write_bucketed_table(spark.range(1000).select((F.col("id") % 50).alias("film_id"), "id"), "some_lines", "film_id", 4)
+    layout.write_bucketed_table(spark.range(50).select(F.col("id").alias("film_id"), (F.col("id") + 1000).alias("film_dim_id")), "some_films", "film_id", 4)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = facts.bucketed_lookup(spark, "some_lines", "some_films", "film_id", "film_dim_id")
+        grouped = found.groupBy("film_id", "film_dim_id").count()
+        assert grouped.count() == 50 and {r["count"] for r in grouped.collect()} == {20}
+        assert "Exchange" not in grouped._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
