@@ -35,7 +35,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = minhash_dedup.near_duplicates(docs, settle, WIDTH, PERCENT)
     ids = settle(found.groupBy(F.col("doc_id").alias("its_id")).agg(F.max("kept").alias("stays"), F.count("*").alias("rows")))
     same = F.col("doc_id").eqNullSafe(F.col("its_id"))
-    once = docs.join(ids.where(~F.col("stays") | (F.col("rows") > 1)), same, "left_anti")
+    # ids grow with the documents: merged at every size, so that small inputs show what large ones move
+    once = docs.join(ids.where(~F.col("stays") | (F.col("rows") > 1)).hint("merge"), same, "left_anti")
     several = docs.join(ids.where(F.col("stays") & (F.col("rows") > 1)), same, "left_semi").dropDuplicates(["doc_id", "text"])
     return once.unionByName(several)
 
