@@ -17,3 +17,42 @@ def test_product_repeats_neither_side_on_the_way(spark):
     every = joins.product(left, right, block_rows=8)
     assert "CartesianProduct" in plan(every) and every.rdd.getNumPartitions() >= 4 * spark.sparkContext.defaultParallelism
     assert every.count() == every.distinct().count() == 300 * 70
+
+
+def test_contracted_chain_moves_fewer_links_than_doubling(spark, monkeypatch):
+    written = []
+
+    def counted(df, own=hierarchy.settle):
+        kept = own(df)
+        written.append(kept.count())
+        return kept
+
+    monkeypatch.setattr(hierarchy, "settle", counted)
+    monkeypatch.setattr(hierarchy, "DOUBLED", 40)
+    edges = spark.range(600).select("id", F.when(F.col("id") > 0, F.col("id") - 1).alias("before"))
+    assert tuples(hierarchy.descend(edges, "id", "before"), "member", "level", "root") == sorted(((i, i, 0) for i in range(600)), key=repr)
+    # doubling writes nearly all 600 in each of ten rounds
+    assert sum(written) < 600 * 10
+
+
+def test_contraction_of_trees_rings_and_missing_parents(spark, monkeypatch):
+    up = {i: i // 3 if i > 4 else None for i in range(200)}
+    up |= {1000 + i: 1000 + (i + 1) % 10 + i // 10 * 10 for i in range(60)} | {2000 + i: 1000 + i for i in range(60)} | {3000 + i: 9000 + i for i in range(60)}
+
+    def walked(member):
+        level = 0
+        while up[member] is not None:
+            member, level = up[member], level + 1
+        return level, member
+
+    monkeypatch.setattr(hierarchy, "DOUBLED", 5)
+    edges = spark.createDataFrame(list(up.items()), "id long, above int")
+    want = sorted(((m, *walked(m)) for m in up if m < 200), key=repr)
+    assert tuples(hierarchy.descend(edges, "id", "above"), "member", "level", "root") == want
+
+
+def test_unrooted_sends_no_table_through_the_driver(spark):
+    edges = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, 9), (5, None)], "id long, above long")
+    found = hierarchy.unrooted(edges, "id", "above")
+    assert "Broadcast" not in plan(found)
+    assert tuples(found) == [(1, True), (2, True), (3, False), (4, False)]
