@@ -121,6 +121,17 @@ def range_count(rows: DataFrame) -> int:
     return max(1, -(-rows.count() // ROWS_PER_RANGE))
 
 
+def spread(df: DataFrame, by: Sequence[str], size_of: DataFrame | None = None) -> DataFrame:
+    """``df`` with rows of equal ``by`` in one partition, in as many partitions as there are ranges of its rows.
+
+    Grouping, distinct and joins on ``by`` need no other shuffle, and adaptive execution, which merges
+    partitions by their compressed bytes, leaves them as they are; so a task's tables stay as small
+    however many rows there are. Frames of one range stay as they are.
+    """
+    parts = range_count(df if size_of is None else size_of)
+    return df if parts <= 1 else df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), *by)
+
+
 def with_previous(
     df: DataFrame,
     order_by: Sequence[str],

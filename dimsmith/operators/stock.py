@@ -8,20 +8,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.functions.dates import month_end, overdue_days
+from dimsmith.operators.ordering import spread
 
 
 def open_rentals(rental: DataFrame) -> DataFrame:
     return rental.filter(F.col("return_date").isNull())
 
 
+def _items_out(rental: DataFrame, item: Sequence[str]) -> DataFrame:
+    return spread(open_rentals(rental).select(*item), item, size_of=rental).distinct()
+
+
 def in_stock(inventory: DataFrame, rental: DataFrame, item: Sequence[str] = ("inventory_id",)) -> DataFrame:
     """Items never rented, or with every rental returned."""
-    out = open_rentals(rental).select(*item).distinct()
+    out = _items_out(rental, item)
     return inventory.join(out, list(item), "left_anti").select(*inventory.columns)
 
 
 def not_in_stock(inventory: DataFrame, rental: DataFrame, item: Sequence[str] = ("inventory_id",)) -> DataFrame:
-    out = open_rentals(rental).select(*item).distinct()
+    out = _items_out(rental, item)
     return inventory.join(out, list(item), "left_semi").select(*inventory.columns)
 
 
@@ -39,7 +44,7 @@ def film_not_in_stock(inventory: DataFrame, rental: DataFrame, film_id: int, sto
 
 def stock_counts(inventory: DataFrame, rental: DataFrame, item: Sequence[str] = ("inventory_id",)) -> DataFrame:
     """Copies per film and store, on the shelf and out."""
-    out = open_rentals(rental).select(*item).distinct().withColumn("__out", F.lit(1))
+    out = _items_out(rental, item).withColumn("__out", F.lit(1))
     state = inventory.join(out, list(item), "left")
     return state.groupBy("film_id", "store_id").agg(
         F.count_if(F.col("__out").isNull()).alias("num_in"), F.count_if(F.col("__out").isNotNull()).alias("num_out")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dimsmith.operators.joins import splittable
+from dimsmith.operators.ordering import spread
 from dimsmith.plans.facts import Dimensions, resolve
 from dimsmith.sources.readers import Tables
 
@@ -136,7 +137,8 @@ def film_actor(t: Tables) -> DataFrame:
 
 def inventory(t: Tables) -> DataFrame:
     """Copies: one per film and store; the pair itself is the copy's key."""
-    return t.lineitem.select(F.col("l_partkey").alias("film_id"), F.col("l_suppkey").alias("store_id")).distinct()
+    pairs = t.lineitem.select(F.col("l_partkey").alias("film_id"), F.col("l_suppkey").alias("store_id"))
+    return spread(pairs, ["film_id", "store_id"], size_of=t.lineitem).distinct()
 
 
 def line_amount():

@@ -56,3 +56,14 @@ def test_unrooted_sends_no_table_through_the_driver(spark):
     found = hierarchy.unrooted(edges, "id", "above")
     assert "Broadcast" not in plan(found)
     assert tuples(found) == [(1, True), (2, True), (3, False), (4, False)]
+
+
+@pytest.mark.parametrize("rows_per_range", [3, 500_000])
+def test_stock_of_many_items_is_spread_by_rows(spark, monkeypatch, rows_per_range):
+    monkeypatch.setattr(ordering, "ROWS_PER_RANGE", rows_per_range)
+    inventory = spark.createDataFrame([(i, i % 3, 1) for i in range(30)], "inventory_id long, film_id int, store_id int")
+    rental = spark.createDataFrame([(i, None if i % 2 else "2005-01-01") for i in range(20)] * 2 + [(None, None)], "inventory_id long, return_date string")
+    counts = stock.stock_counts(inventory, rental)
+    assert tuples(counts) == [(0, 1, 7, 3), (1, 1, 6, 4), (2, 1, 7, 3)]
+    spread = ordering.spread(rental, ["inventory_id"])
+    assert ("REPARTITION_BY_NUM" in plan(spread)) == (rows_per_range == 3)
