@@ -152,12 +152,13 @@ def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | Non
 
     ``amount_as_text`` writes amounts the way the rental source does, with a leading ``$``; those
     of ``waived`` lines as a word. With ``dims`` every surrogate key is looked up where it costs
-    least: customers per order, before the lines multiply it, films and the supplier's two roles
-    on the lines while they are narrow, and both roles in one lookup.
+    least: customers per order, before the lines multiply it, films on the lines while they are
+    narrow, and the supplier's two roles in one lookup, last, as it adds most to a line. Amounts
+    become text once the lines have moved.
     """
-    amount = F.concat(F.lit("$"), line_amount().cast("string")) if amount_as_text else line_amount()
+    amount = F.concat(F.lit("$"), F.col("amount").cast("string")) if amount_as_text else F.col("amount")
     if waived is not None:
-        amount = F.when(waived, F.lit("waived")).otherwise(amount)
+        amount = F.when(F.col("__waived"), F.lit("waived")).otherwise(amount)
     lines = t.lineitem.select(
         F.col("l_orderkey").alias("rental_id"),
         F.col("l_linenumber").alias("payment_id"),
@@ -165,7 +166,8 @@ def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | Non
         F.col("l_suppkey").alias("store_id"),
         F.col("l_shipdate").alias("return_date"),
         F.when(F.col("l_linestatus") == "F", F.col("l_shipdate")).alias("returned_if_closed"),
-        amount.alias("amount"),
+        line_amount().alias("amount"),
+        *([] if waived is None else [waived.alias("__waived")]),
     )
     orders = t.orders.select(
         F.col("o_orderkey").alias("rental_id"),
@@ -175,11 +177,13 @@ def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | Non
     found = []
     if dims is not None:
         orders = resolve(orders, dims, ("customer",))
+        lines = resolve(lines, dims, ("film",))
+    lines = lines.join(orders, "rental_id")
+    if dims is not None:
         roles = dims.staff.join(dims.store, F.col("staff_id") == F.col("store_id")).select("store_id", "staff_dim_id", "store_dim_id")
         lines = lines.join(splittable(roles), "store_id")
-        lines = resolve(lines, dims, ("film",))
         found = ["customer_dim_id", "staff_dim_id", "film_dim_id", "store_dim_id"]
-    return lines.join(orders, "rental_id").select(
+    return lines.select(
         "rental_id",
         "payment_id",
         F.concat_ws("-", "film_id", "store_id").alias("inventory_id"),
@@ -191,7 +195,7 @@ def rental_lines(t: Tables, amount_as_text: bool = False, dims: Dimensions | Non
         "return_date",
         "returned_if_closed",
         F.col("rental_date").alias("payment_date"),
-        "amount",
+        amount.alias("amount"),
         F.col("return_date").alias("last_update"),
         *found,
     )

@@ -67,3 +67,16 @@ def test_stock_of_many_items_is_spread_by_rows(spark, monkeypatch, rows_per_rang
     assert tuples(counts) == [(0, 1, 7, 3), (1, 1, 6, 4), (2, 1, 7, 3)]
     spread = ordering.spread(rental, ["inventory_id"])
     assert ("REPARTITION_BY_NUM" in plan(spread)) == (rows_per_range == 3)
+
+
+def test_lines_move_without_text_and_supplier_keys(spark):
+    class Tables:
+        lineitem = spark.sql("SELECT 1L l_orderkey, 2 l_linenumber, 3L l_partkey, 4L l_suppkey, timestamp_ntz'1995-01-01' l_shipdate, 'F' l_linestatus, 10.5D l_extendedprice, 0.1D l_discount")
+        orders = spark.sql("SELECT 1L o_orderkey, 5L o_custkey, timestamp_ntz'1994-01-01' o_orderdate")
+
+    key = lambda name, value: spark.createDataFrame([(value, 10 * value)], f"{name}_id long, {name}_dim_id long")
+    dims = facts.Dimensions(key("customer", 5), key("staff", 4), key("film", 3), key("store", 4))
+    lines = standin.rental_lines(Tables, amount_as_text=True, dims=dims)
+    assert tuples(lines, "amount", "inventory_id", "customer_dim_id", "staff_dim_id", "film_dim_id", "store_dim_id") == [("$9.45", "3-4", 50, 40, 30, 40)]
+    optimized = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.index("$") < optimized.index("Join")
