@@ -3,7 +3,8 @@
 Texts are split by the vocabulary's pattern. Within a piece, a segment tree over byte positions
 holds the rank and place of the pair that starts at each live position; its root is the least rank
 at the leftmost place that has it. A merge changes two leaves and removes one, each in logarithmic
-time, so a piece of n bytes costs O(n log n) however long it is. Pieces recur, so each worker
+time, so a piece of n bytes costs O(n log n) however long it is. Most pieces are words of a few
+bytes, for which a plain list of pair ranks is faster than a tree. Pieces recur, so each worker
 remembers those it has seen, within a bound.
 
 Ids are stored as consecutive little-endian unsigned 32-bit integers (``binary``); ``unpacked``
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 NONE = 1 << 62
 #: Pieces remembered by a task, and the longest that is worth remembering.
 REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+#: Bytes up to which a piece is merged in a list.
+SHORT = 48
 #: By vocabulary path and pattern; a worker process serves many tasks.
 _encoders: dict[tuple[str, str], Encoder] = {}
 
@@ -43,6 +46,8 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     n = len(piece)
     if n < 2:
         return [ranks[piece]] if n else []
+    if n <= SHORT:
+        return merge_short(piece, ranks)
     leaves = 1 << (n - 1).bit_length()
     shift, mask = leaves.bit_length(), (1 << leaves.bit_length()) - 1
     end = list(range(1, n + 1))
@@ -88,6 +93,22 @@ def merge(piece: bytes, ranks: dict[bytes, int], longest: int) -> list[int]:
     return ids
 
 
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """As :func:`merge`, by lists of the parts and of the ranks of neighbouring ones."""
+    get = ranks.get
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    pairs = [get(piece[i : i + 2], NONE) for i in range(len(piece) - 1)]
+    while pairs and (least := min(pairs)) != NONE:
+        at = pairs.index(least)
+        del pairs[at]
+        joined = parts[at] = parts[at] + parts.pop(at + 1)
+        if at:
+            pairs[at - 1] = get(parts[at - 1] + joined, NONE)
+        if at < len(pairs):
+            pairs[at] = get(joined + parts[at + 1], NONE)
+    return [ranks[part] for part in parts]
+
+
 class Encoder(dict):
     """Packed ids by piece of text."""
 
