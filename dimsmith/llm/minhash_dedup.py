@@ -50,6 +50,8 @@ MATCHES = 38
 PREFIX = MINIMA - MATCHES + 1
 PERCENT = 80
 PARITIES = 512
+#: Documents signed at once, and words and classes that a task remembers meanwhile.
+SIGNED, WORDS, TOLD = 500, 150_000, 250_000
 _random = np.random.default_rng(20)
 FACTORS = _random.integers(0, 1 << 31, MINIMA, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
 MASKS = _random.integers(0, 1 << 32, MINIMA, dtype=np.uint32)
@@ -101,8 +103,8 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
     """
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, told, packer = WordHashes(), set(), zstandard.ZstdCompressor(3)
-        for batch in batches:
+        known, told, packer = WordHashes(WORDS), set(), zstandard.ZstdCompressor(3)
+        for batch in (b.iloc[a : a + SIGNED] for b in batches for a in range(0, len(b), SIGNED)):
             rows = []
             for text in batch["text"]:
                 own = shingle_set(text, width, known)
@@ -111,7 +113,7 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
                     continue
                 cid, least = class_id(own), minima(own)
                 packed = None if cid in told else packer.compress(text.encode())
-                if len(told) > 1_000_000:
+                if len(told) > TOLD:
                     told.clear()
                 told.add(cid)
                 rows.append((len(own), cid, least.view(np.int64), least.astype(np.uint8).tobytes(), parities(own), packed))
