@@ -54,8 +54,8 @@ def personal(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, and whether decoding them gives its text back."""
     path = public_tokenizers.path(VOCABULARY)
-    rows = byte_bpe.encode(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
-    return byte_bpe.decode(rows, path).select(
+    rows = byte_bpe.round_trip(docs.select("doc_id", "lang", "source", "text"), path, public_tokenizers.PATTERN)
+    return rows.select(
         "doc_id",
         "lang",
         "source",

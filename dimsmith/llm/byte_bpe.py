@@ -20,14 +20,19 @@ from collections.abc import Iterator
 
 import pandas as pd
 import regex
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dimsmith.llm.common import unused
+
 NONE = 1 << 62
 #: Pieces remembered by a task, and the longest that is worth remembering.
 REMEMBERED, REMEMBERED_CHARS = 400_000, 64
 #: Bytes up to which a piece is merged in a list.
 SHORT = 48
+#: Texts encoded and decoded before their results leave a task.
+TEXTS = 1_000
 #: By vocabulary path and pattern; a worker process serves many tasks.
 _encoders: dict[tuple[str, str], Encoder] = {}
 
@@ -138,15 +143,21 @@ class Decoder:
         return b"".join(map(self.tokens.__getitem__, memoryview(packed).cast("I"))) if packed else b""
 
 
+def remembered(path: str, pattern: str, sent: Broadcast) -> Encoder:
+    """The worker's encoder, which it keeps from task to task."""
+    own = _encoders.get((path, pattern))
+    if own is None:
+        own = _encoders[path, pattern] = Encoder(sent.value, pattern)
+    return own
+
+
 def encoder(spark, path: str, pattern: str):
     """A column function: text to packed ids. The vocabulary, whose size its file bounds, goes to each executor once."""
     sent = spark.sparkContext.broadcast(read_ranks(path))
 
     @F.pandas_udf("binary")
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        own = _encoders.get((path, pattern))
-        if own is None:
-            own = _encoders[path, pattern] = Encoder(sent.value, pattern)
+        own = remembered(path, pattern, sent)
         for texts in batches:
             yield pd.Series([own.encode(t) for t in texts], dtype=object)
 
@@ -176,6 +187,29 @@ def decode(df: DataFrame, path: str, ids: str = "ids", into: str = "decoded") ->
     return df.withColumn(into, decoder(df.sparkSession, path)(F.col(f"`{ids}`")))
 
 
+def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", into: str = "ids", back: str = "decoded") -> DataFrame:
+    """``decode(encode(df))`` with one Python worker for each task.
+
+    One after the other they are two workers a task, each with a vocabulary and remembered pieces of
+    its own, and executors keep such workers for the steps that follow.
+    """
+    sent = df.sparkSession.sparkContext.broadcast(read_ranks(path))
+
+    @F.pandas_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        own = remembered(path, pattern, sent)
+        decoder = Decoder(own.ranks)
+        for texts in batches:
+            for at in range(0, len(texts), TEXTS):
+                ids = [own.encode(t) for t in texts.iloc[at : at + TEXTS]]
+                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([decoder.decode(x) for x in ids], dtype=object)})
+
+    name = unused(df, "both")
+    others = [F.col(f"`{c}`") for c in df.columns if c not in (into, back)]
+    rows = df.withColumn(name, both(F.col(f"`{text}`")))
+    return rows.select(*others, F.col(f"{name}.ids").alias(into), F.col(f"{name}.decoded").alias(back))
+
+
 def unpacked(ids: Column) -> Column:
     """Packed ids as an array of integers."""
     digits = F.hex(ids)

@@ -132,7 +132,7 @@ def alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, pe
         return pd.Series([np.count_nonzero(np.frombuffer(a, np.uint8) == np.frombuffer(b, np.uint8)) for a, b in zip(first, second)], dtype="int32")
 
     def confirm(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, unpacker = WordHashes(), zstandard.ZstdDecompressor()
+        known, unpacker = WordHashes(WORDS), zstandard.ZstdDecompressor()
         recent: OrderedDict[bytes, np.ndarray] = OrderedDict()
 
         def full(cid: bytes, packed: bytes) -> np.ndarray:
@@ -163,7 +163,7 @@ def alone_in(classes: DataFrame, texts: DataFrame, width: int) -> DataFrame:
     """(member, alone): how many shingles of each class (cid, root) no class of another component has."""
 
     def shingles(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known, unpacker = WordHashes(), zstandard.ZstdDecompressor()
+        known, unpacker = WordHashes(WORDS), zstandard.ZstdDecompressor()
         for batch in batches:
             for cid, root, raw in zip(batch["cid"], batch["root"], batch["packed"]):
                 own = shingle_set(unpacker.decompress(raw).decode(), width, known)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pandas as pd
+import public_tokenizers
 
 from dimsmith.llm import byte_bpe, minhash_dedup, repeats
 
@@ -37,3 +38,22 @@ def test_short_pieces_merge_as_long_ones(monkeypatch):
     short = [byte_bpe.merge(p, ranks, 6) for p in pieces]
     monkeypatch.setattr(byte_bpe, "SHORT", 0)
     assert short == [byte_bpe.merge(p, ranks, 6) for p in pieces]
+
+
+def test_round_trip_is_encode_and_decode(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    texts = [None, "", "a", "naïve  日本 \n\n don't", *(f"word{i} and {i * i}" for i in range(2 * byte_bpe.TEXTS))]
+    rows = spark.createDataFrame([(i, t, "own") for i, t in enumerate(texts)], "doc_id long, text string, both string").coalesce(1)
+    plain = byte_bpe.decode(byte_bpe.encode(rows, path, public_tokenizers.PATTERN), path)
+    found = byte_bpe.round_trip(rows, path, public_tokenizers.PATTERN)
+    assert found.columns == plain.columns and found.orderBy("doc_id").collect() == plain.orderBy("doc_id").collect()
+    assert byte_bpe.round_trip(rows.limit(0), path, public_tokenizers.PATTERN).count() == 0
+
+
+def test_the_pipeline_encodes_and_decodes_in_one_worker(spark):
+    import corpus_pipeline
+
+    rows = spark.createDataFrame([(1, "en", "web", "some text")], "doc_id long, lang string, source string, text string")
+    out = corpus_pipeline.tokens(spark, rows, "")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and [r.round_trip for r in out.collect()] == [True]
