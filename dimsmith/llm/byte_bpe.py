@@ -19,6 +19,7 @@ import struct
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -28,7 +29,7 @@ from dimsmith.llm.common import unused
 
 NONE = 1 << 62
 #: Pieces remembered by a task, and the longest that is worth remembering.
-REMEMBERED, REMEMBERED_CHARS = 400_000, 64
+REMEMBERED, REMEMBERED_CHARS = 200_000, 64
 #: Bytes up to which a piece is merged in a list.
 SHORT = 48
 #: Texts encoded and decoded before their results leave a task.
@@ -195,14 +196,14 @@ def round_trip(df: DataFrame, path: str, pattern: str, text: str = "text", into:
     """
     sent = df.sparkSession.sparkContext.broadcast(read_ranks(path))
 
-    @F.pandas_udf("ids binary, decoded binary")
-    def both(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    @F.arrow_udf("ids binary, decoded binary")
+    def both(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         own = remembered(path, pattern, sent)
         decoder = Decoder(own.ranks)
         for texts in batches:
             for at in range(0, len(texts), TEXTS):
-                ids = [own.encode(t) for t in texts.iloc[at : at + TEXTS]]
-                yield pd.DataFrame({"ids": pd.Series(ids, dtype=object), "decoded": pd.Series([decoder.decode(x) for x in ids], dtype=object)})
+                ids = [own.encode(t) for t in texts.slice(at, TEXTS).to_pylist()]
+                yield pa.StructArray.from_arrays([pa.array(ids, pa.binary()), pa.array([decoder.decode(x) for x in ids], pa.binary())], ["ids", "decoded"])
 
     name = unused(df, "both")
     others = [F.col(f"`{c}`") for c in df.columns if c not in (into, back)]

@@ -35,6 +35,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
@@ -102,11 +103,13 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
     The last five are null without words; ``packed``, the compressed text, is given once a class in a task.
     """
 
-    def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, told, packer = WordHashes(WORDS), set(), zstandard.ZstdCompressor(3)
-        for batch in (b.iloc[a : a + SIGNED] for b in batches for a in range(0, len(b), SIGNED)):
+        numbers = pa.list_(pa.int64())
+        kinds = {"n_shingles": pa.int64(), "cid": pa.binary(), "coordinates": numbers, "minima": pa.binary(), "parities": numbers, "packed": pa.binary()}
+        for batch in (b.slice(a, SIGNED) for b in batches for a in range(0, b.num_rows, SIGNED)):
             rows = []
-            for text in batch["text"]:
+            for text in batch.column("text").to_pylist():
                 own = shingle_set(text, width, known)
                 if not len(own):
                     rows.append((0, None, None, None, None, None))
@@ -117,12 +120,11 @@ def signatures(documents: DataFrame, width: int) -> DataFrame:
                     told.clear()
                 told.add(cid)
                 rows.append((len(own), cid, least.view(np.int64), least.astype(np.uint8).tobytes(), parities(own), packed))
-            out = pd.DataFrame(rows, columns=["n_shingles", "cid", "coordinates", "minima", "parities", "packed"])
-            out.insert(0, "doc_id", batch["doc_id"].array)
-            yield out
+            columns = [pa.array(values, kind) for values, kind in zip(zip(*rows), kinds.values())]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], ["doc_id", *kinds])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.mapInPandas(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<long>, minima binary, parities array<long>, packed binary")
+    return documents.mapInArrow(sign, f"doc_id {kind}, n_shingles long, cid binary, coordinates array<long>, minima binary, parities array<long>, packed binary")
 
 
 def alike(pairs: DataFrame, classes: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
