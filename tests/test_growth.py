@@ -19,6 +19,17 @@ def test_product_repeats_neither_side_on_the_way(spark):
     assert every.count() == every.distinct().count() == 300 * 70
 
 
+def test_product_makes_more_tasks_of_more_values(spark, monkeypatch):
+    """A task's part of the result is bounded, however many values there are."""
+    left, right = spark.range(600).withColumnRenamed("id", "a"), spark.range(900).withColumnRenamed("id", "b")
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 2_000, raising=False)
+    every = joins.product(left, right, block_rows=8)
+    made = [r["n"] for r in every.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert sum(made) == every.distinct().count() == 600 * 900
+    # 38 rows in a tile, and one block of 8 more or less
+    assert max(made) <= 3_000
+
+
 def test_contracted_chain_moves_fewer_links_than_doubling(spark, monkeypatch):
     written = []
 
